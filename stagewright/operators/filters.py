@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,4 +38,4 @@ def on_date_or_missing(df: DataFrame, column: str, date: dt.date) -> DataFrame:
 
 def present(df: DataFrame, *columns: str) -> DataFrame:
     """Rows where none of the columns is null."""
-    return df.dropna(subset=list(columns))
+    return df.where(reduce(and_, (F.col(name).isNotNull() for name in columns)))

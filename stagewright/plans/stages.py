@@ -47,6 +47,7 @@ def _read_source(spark: SparkSession, spec: Spec, load_date: dt.date) -> DataFra
             spec.get("split_column"),
             spec.get("partitions", 2),
             spec.get("bounds"),
+            spec.get("even", False),
             **options,
         )
     path = spec.get("path")

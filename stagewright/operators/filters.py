@@ -11,23 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _falls_on(df: DataFrame, column: str, date: dt.date) -> Column:
+def _falls_on(df: DataFrame, column: str, date: dt.date | None) -> Column:
     """Compare by calendar day without wrapping a stored date or timestamp in a function."""
     value, kind = F.col(column), df.schema[column].dataType
+    day = F.current_date() if date is None else F.lit(date).cast("date")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        start = F.lit(date).cast(kind)
-        end = F.lit(date + dt.timedelta(days=1)).cast(kind)
-        return (value >= start) & (value < end)
-    day = F.lit(date).cast("date")
+        return (value >= day.cast(kind)) & (value < F.date_add(day, 1).cast(kind))
     return (value.try_cast("date") if isinstance(kind, T.StringType) else value) == day
 
 
-def on_date(df: DataFrame, column: str, date: dt.date) -> DataFrame:
-    """Rows of one day. On a partition column this prunes partitions, on others row groups."""
+def on_date(df: DataFrame, column: str, date: dt.date | None = None) -> DataFrame:
+    """Rows of one day, by default today. On a partition column this prunes partitions, on others row groups."""
     return df.where(_falls_on(df, column, date))
 
 
-def on_date_or_missing(df: DataFrame, column: str, date: dt.date) -> DataFrame:
+def on_date_or_missing(
+    df: DataFrame, column: str, date: dt.date | None = None
+) -> DataFrame:
     """Rows of one day or without a day.
 
     After a left outer join this must stay above the join: a partner of another day drops the

@@ -39,9 +39,12 @@ def member_dim(
 
 
 def member_dim_daily(
-    members: DataFrame, load_date: dt.date, key: str = "fresh", truncate: bool = False
+    members: DataFrame,
+    load_date: dt.date | None = None,
+    key: str = "fresh",
+    truncate: bool = False,
 ) -> DataFrame:
-    """Registrations of one load date, without addresses: 10 columns."""
+    """Registrations of one load date, by default today, without addresses: 10 columns."""
     today = on_date(members, LOAD_DATE, load_date)
     return add_key(distinct_rows(_registration(today, truncate)), "member_key", key)
 

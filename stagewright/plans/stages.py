@@ -164,7 +164,7 @@ def sql_load(
 def _load_one(
     spark: SparkSession,
     spec: Spec,
-    tables: Mapping[str, str],
+    earlier: Mapping[str, Spec],
     staging_root: str,
     warehouse: Warehouse,
     load_date: dt.date,
@@ -173,7 +173,10 @@ def _load_one(
         name: read_staged(spark, staging_root, name) for name in as_list(spec.get("sources"))
     }
     for name in as_list(spec.get("targets")):
-        views[name] = read_table(spark, tables[name], warehouse)
+        read = earlier[name]
+        views[name] = read_table(
+            spark, read["table"], warehouse, read.get("split_column"), read.get("partitions", 2)
+        )
     for name, table in spec.get("tables", {}).items():
         views[name] = read_table(spark, table, warehouse)
     if "query" in spec:
@@ -195,17 +198,19 @@ def load(
 
     A target reads staged ``sources`` (one name or a list), earlier ``targets`` and other warehouse
     ``tables`` ({view: table}), and is built by ``build(views, load_date)`` or
-    by the SQL text in ``query``. When a target fails, those that read it are left alone and the
+    by the SQL text in ``query``. A target in a JDBC warehouse that others read should name its
+    ``split_column`` and ``partitions``, or it is read back by one task. When a target fails, those that read it are left alone and the
     others still run; ``LoadError`` names them at the end.
     """
-    tables: dict[str, str] = {}
+    earlier: dict[str, Spec] = {}
     for spec in targets:
-        missing = [name for name in as_list(spec.get("targets")) if name not in tables]
+        name = spec["name"]
+        missing = [read for read in as_list(spec.get("targets")) if read not in earlier]
         if missing:
-            raise ValueError(f"target {spec['name']} reads {missing}, which must be listed before it")
-        if spec["table"] in tables.values():
-            raise ValueError(f"target {spec['name']} would overwrite the table of another")
-        tables[spec["name"]] = spec["table"]
+            raise ValueError(f"target {name} reads {missing}, which must be listed before it")
+        if any(spec["table"] == other["table"] for other in earlier.values()):
+            raise ValueError(f"target {name} would overwrite the table of another")
+        earlier[name] = spec
 
     results: list[dict] = []
     done: set[str] = set()
@@ -217,7 +222,7 @@ def load(
             continue
         result = _attempt(
             spec["name"],
-            lambda spec=spec: _load_one(spark, spec, tables, staging_root, warehouse, load_date),
+            lambda spec=spec: _load_one(spark, spec, earlier, staging_root, warehouse, load_date),
         )
         if result["status"] == "done":
             done.add(spec["name"])

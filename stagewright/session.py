@@ -13,6 +13,7 @@ def local_session(cpus: int | str = "*", name: str = "stagewright", **conf: str)
     cores = 8 if cpus == "*" else int(cpus)
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(cores),
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",

@@ -10,16 +10,23 @@ from stagewright.sources.files import staging_path
 
 
 def stage(
-    df: DataFrame, root: str, source: str, overwrite: str = "static", column: str = LOAD_DATE
+    df: DataFrame,
+    root: str,
+    source: str,
+    overwrite: str = "static",
+    column: str = LOAD_DATE,
+    rebalance: bool = False,
 ) -> int:
     """Write a source's rows into one folder per date; returns their number.
 
     ``static`` leaves only the dates in ``df``; ``dynamic`` replaces those and keeps the other
     days, so that a rerun of one day is repeatable. No shuffle: each task writes what it read.
+    A batch of many dates would get one file per task and date that way; ``rebalance`` shuffles it
+    by date, and adaptive execution splits large dates over tasks and puts small ones together.
     """
     if overwrite not in ("static", "dynamic"):
         raise ValueError(f"unknown overwrite mode {overwrite!r}: use 'static' or 'dynamic'")
-    rows, seen = counted(df)
+    rows, seen = counted(df.hint("rebalance", column) if rebalance else df)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)

@@ -158,6 +158,52 @@ def test_null_keys_go_to_many_partitions(spark):
             spark.conf.unset(key)
 
 
+@pytest.fixture
+def skew_shows(spark):
+    """Thresholds low enough for test data to count as skewed."""
+    conf = {
+        **_broadcast_off(spark),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _final_plan(df):
+    df.collect()
+    return plan(df).split("Initial Plan")[0]
+
+
+def test_hot_keys_are_split(spark, skew_shows):
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("bigint")
+    many = spark.range(0, 30000, 1, 8).select(
+        hot.alias("lk"), F.sha2(F.col("id").cast("string"), 256).alias("x")
+    )
+    few = spark.range(0, 30000, 1, 8).select(F.col("id").alias("rk"), F.lit("y").alias("y"))
+    dated = many.select(F.col("lk").alias("rk"), "x", F.lit(DAY).alias("d"))
+    one = few.select(F.col("rk").alias("lk"))
+    left_hot = {
+        "left": ops.left_join(many, few, "lk", "rk", spread_nulls_by=["x"]),
+        "inner": ops.inner_join(many, few, "lk", "rk"),
+        "dated, hot partner": ops.left_join_dated(one, dated, "lk", "rk", DAY, "d")[0],
+        "dated, hot left": ops.left_join_dated(
+            many, few.withColumn("d", F.lit(OTHER)), "lk", "rk", DAY, "d"
+        )[1],
+        "distinct": ops.distinct_join(
+            many.withColumn("n", F.monotonically_increasing_id()), few, "lk", "rk"
+        ),
+    }
+    unsplit = [name for name, df in left_hot.items() if "skew=true" not in _final_plan(df)]
+    assert not unsplit
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_distinct_join_is_distinct_of_join(spark, strategy, seed):
     left, right = _random_sides(seed)

@@ -111,7 +111,20 @@ def test_even_cuts_of_dense_and_sparse_keys(spark, database):
     assert max(sizes) <= 350
 
 
-@pytest.mark.parametrize("keys", [[], [7], [7] * 50])
+def test_split_warehouse_reads(spark, database):
+    table = f"t_{uuid.uuid4().hex}"
+    keyed = spark.range(0, 400, 1, 4).select(F.xxhash64("id").alias("key"), "id")
+    write_table(keyed, table, database)
+    back = read_table(spark, table, database, '"key"', 4)
+    assert rows(back) == rows(keyed) and back.rdd.getNumPartitions() >= 4
+    sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 150
+    query = f'select "key" from {table} where "id" < 100'
+    part = read_query(spark, query, database, '"key"', 4)
+    assert rows(part) == rows(keyed.where("id < 100").select("key"))
+
+
+@pytest.mark.parametrize("keys", [[], [7], [7] * 50, [-5, -4, 0, 9], [-(2**63), 2**63 - 1]])
 def test_even_cuts_of_few_keys(spark, database, keys):
     table = f"t_{uuid.uuid4().hex}"
     df = spark.createDataFrame([(k,) for k in keys], "id bigint")
@@ -194,6 +207,20 @@ def test_staged_day_prunes_partitions(spark):
     assert rows(df) == [(2, SECOND)]
 
 
+def test_rebalance_writes_few_files_per_date(spark):
+    days = spark.range(0, 800, 1, 8).select(
+        "id", F.date_add(F.lit(FIRST), (F.col("id") % 4).cast("int")).alias("load_date")
+    )
+    files = {}
+    for rebalance in (False, True):
+        root = scratch_path(spark, "staging")
+        assert stage(days, root, "s", rebalance=rebalance) == 800
+        back = read_staged(spark, root, "s")
+        assert rows(back) == rows(days)
+        files[rebalance] = len(back.inputFiles())
+    assert files == {False: 32, True: 4}
+
+
 def test_scratch_path_is_fresh_and_shared(spark):
     one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -44,6 +44,13 @@ def stamp_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.stamp_load_date(customer, inputs.EXTRACT_DAY)
 
 
+@query("SELECT c_custkey, c_name FROM customer")
+def stamp_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows stamped with the current date pass the filter for today."""
+    customer = inputs.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return ops.on_date(ops.stamp_load_date(customer), "load_date").drop("load_date")
+
+
 @query("""
 SELECT o_orderkey AS txn_id, o_totalprice AS gross_local, o_orderpriority AS txn_type_key
 FROM orders""")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewright import LOAD_DATE
+from stagewright.functions import safe_cast
 from stagewright.operators.filters import on_date_or_missing
 
 _LEFT, _RIGHT, _SPREAD = "__left_key", "__right_key", "__spread"
@@ -30,9 +31,9 @@ def _keyed(
     left_type, right_type = left.schema[left_key].dataType, right.schema[right_key].dataType
     if left_type != right_type:
         if isinstance(left_type, T.StringType):
-            lhs = lhs.try_cast(right_type)
+            lhs = safe_cast(lhs, right_type.simpleString())
         elif isinstance(right_type, T.StringType):
-            rhs = rhs.try_cast(left_type)
+            rhs = safe_cast(rhs, left_type.simpleString())
     return left.withColumn(_LEFT, lhs), right.withColumn(_RIGHT, rhs)
 
 

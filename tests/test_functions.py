@@ -1,6 +1,11 @@
 """Expressions on literal rows, in both ANSI modes."""
 
+import decimal
+
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from stagewright import functions as fn
 
@@ -36,6 +41,22 @@ def one(spark, value, kind, expression):
         ("", "int", None, None),
         ("-", "int", None, None),
         (None, "int", None, None),
+        ("+5", "int", 5, 5),
+        ("\t5\x00", "int", 5, 5),
+        ("5 5", "int", None, None),
+        ("0000000000000000000000007", "smallint", 7, 7),
+        ("32767", "smallint", 32767, 32767),
+        ("-32768", "smallint", -32768, -32768),
+        ("-32769", "short", None, None),
+        ("2147483647", "int", 2147483647, 2147483647),
+        ("2147483648", "integer", None, None),
+        ("1234567890123456789012", "int", None, None),
+        ("9223372036854775807", "bigint", 2**63 - 1, 2**63 - 1),
+        ("-9223372036854775808", "long", -(2**63), -(2**63)),
+        ("9223372036854775808", "bigint", None, None),
+        ("-9223372036854775808.9", "bigint", None, -(2**63)),
+        ("abc", "date", None, None),
+        ("1.5", "decimal(3,1)", decimal.Decimal("1.5"), decimal.Decimal("1.5")),
     ],
 )
 def test_safe_cast(spark, text, to, strict, truncated):
@@ -43,6 +64,18 @@ def test_safe_cast(spark, text, to, strict, truncated):
     assert one(spark, text, "string", fn.safe_cast("v", to, truncate=True)) == truncated
 
 
+@settings(max_examples=5, deadline=None)
+@given(texts=st.lists(st.text(alphabet="0123456789+-. ex\t\n\x00\x1f\x7f\u00a0\u0661", max_size=7)))
+def test_safe_cast_accepts_what_try_cast_does(texts):
+    spark = SparkSession.getActiveSession()
+    digits = ["99", "999999", "9999999999", "9999999999999999999", "99999999999999999999"]
+    df = spark.createDataFrame([(t,) for t in [*texts, *digits]], "v string")
+    for to in ("tinyint", "smallint", "int", "bigint"):
+        with_ansi = F.expr(f"try_cast(v as {to})")
+        differ = df.where(~fn.safe_cast("v", to).eqNullSafe(with_ansi))
+        assert differ.collect() == []
+
+
 def test_cast_to_string(spark):
     assert one(spark, 7, "bigint", fn.safe_cast("v", "string")) == "7"
 

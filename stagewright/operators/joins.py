@@ -11,40 +11,41 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewright import LOAD_DATE
-from stagewright.functions import safe_cast
+from stagewright.functions import key_cast
 from stagewright.operators.filters import on_date_or_missing
 
-_LEFT, _RIGHT, _SPREAD = "__left_key", "__right_key", "__spread"
+_LEFT, _RIGHT, _SPREAD, _FIXED = "__left_key", "__right_key", "__spread", "__fixed"
+_HELPERS = (_LEFT, _RIGHT, _SPREAD, _FIXED)
 
 
 def _keyed(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str
-) -> tuple[DataFrame, DataFrame]:
-    """Add join keys of one type. A text key meets a typed one by a cast that gives NULL, hence
-    no match, for text that does not fit, instead of failing the job."""
-    lhs, rhs = F.col(left_key), F.col(right_key)
+) -> tuple[DataFrame, DataFrame, str, str]:
+    """Both sides, and the names of join keys of one type.
+
+    A text key meets a typed one by a cast that gives NULL, hence no match, for text that does
+    not fit, instead of failing the job.
+    """
     left_type, right_type = left.schema[left_key].dataType, right.schema[right_key].dataType
     if left_type != right_type:
         if isinstance(left_type, T.StringType):
-            lhs = safe_cast(lhs, right_type.simpleString())
-        elif isinstance(right_type, T.StringType):
-            rhs = safe_cast(rhs, left_type.simpleString())
-    return left.withColumn(_LEFT, lhs), right.withColumn(_RIGHT, rhs)
-
-
-def _on() -> Column:
-    return F.col(_LEFT) == F.col(_RIGHT)
+            cast = key_cast(left_key, right_type.simpleString())
+            return left.withColumn(_LEFT, cast), right, _LEFT, right_key
+        if isinstance(right_type, T.StringType):
+            cast = key_cast(right_key, left_type.simpleString())
+            return left, right.withColumn(_RIGHT, cast), left_key, _RIGHT
+    return left, right, left_key, right_key
 
 
 def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Inner join; all columns of both sides, which must not share names."""
-    lhs, rhs = _keyed(left, right, left_key, right_key)
-    return lhs.join(rhs, _on(), "inner").drop(_LEFT, _RIGHT)
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    return lhs.join(rhs, F.col(lk) == F.col(rk), "inner").drop(*_HELPERS)
 
 
 def left_join(
@@ -61,16 +62,15 @@ def left_join(
     then spread by a hash of these columns. It is a function of the row, so a task that is run
     again after a lost executor sends every row to the same place.
     """
-    lhs, rhs = _keyed(left, right, left_key, right_key)
-    on = _on()
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    on = F.col(lk) == F.col(rk)
     if spread_nulls_by:
-        spread = F.when(F.col(_LEFT).isNull(), F.xxhash64(*spread_nulls_by)).otherwise(F.lit(0))
+        spread = F.when(F.col(lk).isNull(), F.xxhash64(*spread_nulls_by)).otherwise(F.lit(0))
         lhs = lhs.withColumn(_SPREAD, spread)
         # Always 0, but not a constant that the optimizer would take out of the join key.
-        rhs = rhs.withColumn(f"{_SPREAD}_right", F.pmod(F.xxhash64(_RIGHT), F.lit(1)))
-        on = on & (F.col(_SPREAD) == F.col(f"{_SPREAD}_right"))
-    joined = lhs.join(rhs, on, "left_outer")
-    return joined.drop(_LEFT, _RIGHT, _SPREAD, f"{_SPREAD}_right")
+        rhs = rhs.withColumn(_FIXED, F.pmod(F.xxhash64(rk), F.lit(1)))
+        on = on & (F.col(_SPREAD) == F.col(_FIXED))
+    return lhs.join(rhs, on, "left_outer").drop(*_HELPERS)
 
 
 def left_join_dated(
@@ -88,12 +88,16 @@ def left_join_dated(
     others the key alone is read and de-duplicated before the shuffle. The matched part is an
     inner join, so a hot key can be split on either side.
     """
-    lhs, rhs = _keyed(left, right, left_key, right_key)
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    on = F.col(lk) == F.col(rk)
+    # Without null keys both joins shuffle the same left rows, which Spark then does once.
+    with_key = lhs.where(F.col(lk).isNotNull())
     partners = on_date_or_missing(rhs, date_column, date).drop(date_column)
-    matched = lhs.join(partners, _on(), "inner").drop(_LEFT, _RIGHT)
-    known = rhs.select(_RIGHT).distinct()
-    unmatched = lhs.join(known, _on(), "left_anti").drop(_LEFT)
-    return matched, unmatched
+    matched = with_key.join(partners, on, "inner").drop(*_HELPERS)
+    known = rhs.select(rk).distinct()
+    unmatched = with_key.join(known, on, "left_anti")
+    without_key = lhs.where(F.col(lk).isNull())
+    return matched, unmatched.unionAll(without_key).drop(*_HELPERS)
 
 
 def distinct_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -103,19 +107,20 @@ def distinct_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     the join (the left key is among the output) and never multiplies copies by copies. With no
     aggregate above it, adaptive execution may split a hot member on either side.
     """
-    lhs, rhs = _keyed(left.distinct(), right, left_key, right_key)
-    rhs = rhs.drop(right_key).distinct()
-    return lhs.join(rhs, _on(), "inner").drop(_LEFT, _RIGHT)
+    lhs, rhs, lk, rk = _keyed(left.distinct(), right, left_key, right_key)
+    others = [F.col(name) for name in right.columns if name != right_key]
+    rhs = rhs.select(F.col(rk).alias(_RIGHT), *others).distinct()
+    return lhs.join(rhs, F.col(lk) == F.col(_RIGHT), "inner").drop(*_HELPERS)
 
 
 def star_join(
     left: DataFrame, right: DataFrame, left_key: str, right_key: str, *columns: str
 ) -> DataFrame:
     """Inner join giving every left column and the named right ones."""
-    lhs, rhs = _keyed(left, right, left_key, right_key)
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
     return (
         lhs.alias("l")
-        .join(rhs.alias("r"), _on(), "inner")
+        .join(rhs.alias("r"), F.col(f"l.{lk}") == F.col(f"r.{rk}"), "inner")
         .select("l.*", *(f"r.{name}" for name in columns))
-        .drop(_LEFT)
+        .drop(*_HELPERS)
     )

@@ -20,13 +20,15 @@ def read_delimited(
     delimiter: str = "|",
     header: bool = True,
     columns: Sequence[str] | None = None,
+    format: str = "csv",
     **options: str,
 ) -> DataFrame:
     """Delimited text; every column is a string, typing comes later.
 
     ``columns`` names the columns of a file without a header, which otherwise are ``_c0`` on.
+    ``format`` may name a transfer connector, with its options.
     """
-    df = spark.read.options(**options).csv(path, sep=delimiter, header=header)
+    df = spark.read.format(format).load(path, delimiter=delimiter, header=header, **options)
     return df.toDF(*columns) if columns else df
 
 

@@ -66,14 +66,14 @@ def test_safe_cast(spark, text, to, strict, truncated):
 
 @settings(max_examples=5, deadline=None)
 @given(texts=st.lists(st.text(alphabet="0123456789+-. ex\t\n\x00\x1f\x7f\u00a0\u0661", max_size=7)))
-def test_safe_cast_accepts_what_try_cast_does(texts):
+def test_casts_accept_what_try_cast_does(texts):
     spark = SparkSession.getActiveSession()
     digits = ["99", "999999", "9999999999", "9999999999999999999", "99999999999999999999"]
     df = spark.createDataFrame([(t,) for t in [*texts, *digits]], "v string")
     for to in ("tinyint", "smallint", "int", "bigint"):
         with_ansi = F.expr(f"try_cast(v as {to})")
-        differ = df.where(~fn.safe_cast("v", to).eqNullSafe(with_ansi))
-        assert differ.collect() == []
+        for cast in (fn.safe_cast, fn.key_cast):
+            assert df.where(~cast("v", to).eqNullSafe(with_ansi)).collect() == []
 
 
 def test_cast_to_string(spark):

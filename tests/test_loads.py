@@ -328,3 +328,30 @@ def test_targets_are_checked_before_any_runs(spark):
     same = [{"name": "a", "table": "t"}, {"name": "b", "table": "t"}]
     with pytest.raises(ValueError, match="overwrite"):
         plans.load(spark, same, "/none", {"kind": "spark"}, DAY)
+
+
+def _simple_plan(df):
+    df.collect()
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return df._jdf.queryExecution().explainString(mode).split("Initial Plan")[0]
+
+
+def test_staged_fact_prunes_dates_and_shuffles_the_day_once(spark, transactions, receipts, dim):
+    off = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    root = scratch_path(spark, "staging")
+    for name, df in (("transactions", transactions), ("receipts", receipts)):
+        df.write.partitionBy("load_date").parquet(f"{root}/{name}")
+    staged = [read_staged(spark, root, name) for name in ("transactions", "receipts")]
+    for key in off:
+        spark.conf.set(key, "-1")
+    try:
+        text = _simple_plan(plans.txn_fact(*staged, dim, DAY))
+    finally:
+        for key in off:
+            spark.conf.unset(key)
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    of_day = [s for s in scans if "PartitionFilters: [isnotnull(load_date" in s]
+    with_undated = [s for s in scans if "OR isnull(load_date" in s]
+    key_only = [s for s in scans if "ReadSchema: struct<txn_id:string>" in s]
+    assert [len(s) for s in (scans, of_day, with_undated, key_only)] == [4, 2, 1, 1]
+    assert "ReusedExchange" in text

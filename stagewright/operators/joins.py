@@ -2,7 +2,7 @@
 
 No join is broadcast by hint: Spark broadcasts a side only where the file statistics, or under
 adaptive execution the shuffled bytes, prove it small. A hot key in a sort-merge join is split by
-adaptive execution, for an inner join on both sides and for an outer or anti join on the left;
+adaptive execution, for an inner join on both sides and for a left outer or anti join on the left;
 the joins here are arranged so that the hot side is one that can be split.
 """
 
@@ -48,12 +48,27 @@ def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
     return lhs.join(rhs, F.col(lk) == F.col(rk), "inner").drop(*_HELPERS)
 
 
+def _matched_and_rest(
+    left: DataFrame, partners: DataFrame, known: DataFrame, lk: str, rk: str
+) -> tuple[DataFrame, DataFrame]:
+    """The inner join with the partners, and the left rows whose key is not among the known."""
+    on = F.col(lk) == F.col(rk)
+    # Without null keys both joins shuffle the same left rows, which Spark then does once.
+    with_key = left.where(F.col(lk).isNotNull())
+    matched = with_key.join(partners, on, "inner")
+    # Distinct merges a hot key's copies before the shuffle.
+    rest = with_key.join(known.select(rk).distinct(), on, "left_anti")
+    without_key = left.where(F.col(lk).isNull())
+    return matched.drop(*_HELPERS), rest.unionAll(without_key).drop(*_HELPERS)
+
+
 def left_join(
     left: DataFrame,
     right: DataFrame,
     left_key: str,
     right_key: str,
     spread_nulls_by: Sequence[str] = (),
+    hot_right: bool = False,
 ) -> DataFrame:
     """Left outer join.
 
@@ -61,8 +76,15 @@ def left_join(
     many rows, name left columns that differ between them in ``spread_nulls_by``: the rows are
     then spread by a hash of these columns. It is a function of the row, so a task that is run
     again after a lost executor sends every row to the same place.
+
+    ``hot_right`` is for a large right side with very many rows of one key. Spark does not split
+    those in an outer join, so they are joined by an inner one, and an anti join adds the left
+    rows without a partner.
     """
     lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    if hot_right:
+        matched, rest = _matched_and_rest(lhs, rhs, rhs, lk, rk)
+        return matched.unionByName(rest, allowMissingColumns=True)
     on = F.col(lk) == F.col(rk)
     if spread_nulls_by:
         spread = F.when(F.col(lk).isNull(), F.xxhash64(*spread_nulls_by)).otherwise(F.lit(0))
@@ -85,19 +107,12 @@ def left_join_dated(
 
     Returns the matched rows (columns of both sides; the right's date column is left out) and the
     left rows that have no partner of any date. Only partners of the date travel in full; for the
-    others the key alone is read and de-duplicated before the shuffle. The matched part is an
-    inner join, so a hot key can be split on either side.
+    others the key alone is read. The matched part is an inner join, so a hot key can be split on
+    either side.
     """
     lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
-    on = F.col(lk) == F.col(rk)
-    # Without null keys both joins shuffle the same left rows, which Spark then does once.
-    with_key = lhs.where(F.col(lk).isNotNull())
     partners = on_date_or_missing(rhs, date_column, date).drop(date_column)
-    matched = with_key.join(partners, on, "inner").drop(*_HELPERS)
-    known = rhs.select(rk).distinct()
-    unmatched = with_key.join(known, on, "left_anti")
-    without_key = lhs.where(F.col(lk).isNull())
-    return matched, unmatched.unionAll(without_key).drop(*_HELPERS)
+    return _matched_and_rest(lhs, partners, rhs, lk, rk)
 
 
 def distinct_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:

@@ -198,10 +198,10 @@ def load(
     """Build and overwrite every target in the order given.
 
     A target reads staged ``sources`` (one name or a list), earlier ``targets`` and other warehouse
-    ``tables`` ({view: table}), and is built by ``build(views, load_date)`` or
-    by the SQL text in ``query``. A target in a JDBC warehouse that others read should name its
-    ``split_column`` and ``partitions``, or it is read back by one task. When a target fails, those that read it are left alone and the
-    others still run; ``LoadError`` names them at the end.
+    ``tables`` ({view: table}), and is built by ``build(views, load_date)`` or by the SQL text in
+    ``query``. A target in a JDBC warehouse that others read should name its ``split_column`` and
+    ``partitions``, or it is read back by one task. When a target fails, those that read it are
+    left alone and the others still run; ``LoadError`` names them at the end.
     """
     earlier: dict[str, Spec] = {}
     for spec in targets:

@@ -44,7 +44,8 @@ def members(spark):
 @pytest.fixture
 def addresses(spark):
     rows = [(1, "s1", "c1", "t1"), (1, "s1", "c1", "t1"), (2, None, None, None), (3, "s", "c", "t")]
-    return spark.createDataFrame(rows, "consumer_id bigint, street string, city string, state string")
+    schema = "consumer_id bigint, street string, city string, state string"
+    return spark.createDataFrame(rows, schema)
 
 
 def test_member_dim(members, addresses):
@@ -311,9 +312,9 @@ def test_failed_target_stops_its_dependants(spark, tmp_path):
     warehouse = {"kind": "spark", "path": scratch_path(spark, "tables")}
     suffix = uuid.uuid4().hex
     targets = [
-        {"name": "a", "table": f"a_{suffix}", "sources": "members", "query": "select no from members"},
+        {"name": "a", "table": f"a_{suffix}", "sources": "members", "query": "select no from x"},
         {"name": "b", "table": f"b_{suffix}", "targets": "a", "query": "select * from a"},
-        {"name": "c", "table": f"c_{suffix}", "sources": "members", "query": "select * from members"},
+        {"name": "c", "table": f"c_{suffix}", "sources": "members", "query": "table members"},
     ]
     with pytest.raises(LoadError) as error:
         plans.load(spark, targets, staging, warehouse, DAY)

@@ -51,6 +51,18 @@ def test_on_date_ignores_text_that_is_no_date(spark):
     assert rows(ops.on_date(df, "d", DAY)) == [("2021-07-25",)]
 
 
+def test_text_dates_reach_the_scan(spark, tmp_path):
+    texts = ["2021-07-24", "2021-07-25", "2021-07-25x", "2021-07-251", "2021-07-25 01:02:03", None]
+    df = spark.createDataFrame([(t,) for t in texts], "d string")
+    df.write.parquet(str(tmp_path / "t"))
+    day = ops.on_date(spark.read.parquet(str(tmp_path / "t")), "d", DAY)
+    assert rows(day) == [("2021-07-25",), ("2021-07-25 01:02:03",)]
+    assert "StringStartsWith(d,2021-07-25)" in plan(day)
+    today = ops.on_date(ops.stamp_load_date(spark.range(2)), "load_date")
+    as_text = ops.stamp_load_date(spark.range(2)).withColumn("t", F.col("load_date").cast("string"))
+    assert today.count() == ops.on_date(as_text, "t").count() == 2
+
+
 def test_filters_reach_the_scan(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     day = ops.present(ops.on_date(lines, "l_shipdate", DAY), "l_linenumber")
@@ -128,14 +140,16 @@ def test_left_join_dated_is_join_then_filter(spark, strategy, seed):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_left_join_spreads_nulls_without_changing_rows(spark, strategy, seed):
+def test_left_join_forms_give_the_same_rows(spark, strategy, seed):
     left, right = _random_sides(seed)
     left_df = spark.createDataFrame(left, "lk bigint, i int")
     right_df = spark.createDataFrame(right, "rk bigint, j int, d date")
     plain = ops.left_join(left_df, right_df, "lk", "rk")
     spread = ops.left_join(left_df, right_df, "lk", "rk", spread_nulls_by=["i"])
-    assert spread.columns == plain.columns
-    assert rows(spread) == rows(plain)
+    split = ops.left_join(left_df, right_df, "lk", "rk", hot_right=True)
+    assert spread.columns == split.columns == plain.columns
+    assert rows(spread) == rows(plain) and rows(split) == rows(plain)
+    assert split.dtypes == plain.dtypes
 
 
 def test_null_keys_go_to_many_partitions(spark):
@@ -191,6 +205,7 @@ def test_hot_keys_are_split(spark, skew_shows):
     one = few.select(F.col("rk").alias("lk"))
     left_hot = {
         "left": ops.left_join(many, few, "lk", "rk", spread_nulls_by=["x"]),
+        "left, hot right": ops.left_join(one, dated, "lk", "rk", hot_right=True),
         "inner": ops.inner_join(many, few, "lk", "rk"),
         "dated, hot partner": ops.left_join_dated(one, dated, "lk", "rk", DAY, "d")[0],
         "dated, hot left": ops.left_join_dated(

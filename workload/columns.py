@@ -134,7 +134,8 @@ WHERE line_date = DATE '1998-01-01' OR line_date IS NULL"""
 def filter_date_or_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Left join, then keep partners of the year, undated ones and orders without any line."""
     orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey")
-    joined = ops.left_join(orders, _dated_lines(spark, sf_dir), "o_orderkey", "l_orderkey")
+    lines = _dated_lines(spark, sf_dir)
+    joined = ops.left_join(orders, lines, "o_orderkey", "l_orderkey", hot_right=True)
     return ops.on_date_or_missing(joined, "line_date", dt.date(1998, 1, 1)).drop("l_orderkey")
 
 

@@ -56,7 +56,7 @@ def test_text_dates_reach_the_scan(spark, tmp_path):
     df = spark.createDataFrame([(t,) for t in texts], "d string")
     df.write.parquet(str(tmp_path / "t"))
     day = ops.on_date(spark.read.parquet(str(tmp_path / "t")), "d", DAY)
-    assert rows(day) == [("2021-07-25",), ("2021-07-25 01:02:03",)]
+    assert {r.d for r in day.collect()} == {"2021-07-25", "2021-07-25 01:02:03"}
     assert "StringStartsWith(d,2021-07-25)" in plan(day)
     today = ops.on_date(ops.stamp_load_date(spark.range(2)), "load_date")
     as_text = ops.stamp_load_date(spark.range(2)).withColumn("t", F.col("load_date").cast("string"))

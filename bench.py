@@ -17,6 +17,7 @@ from workload import QUERIES
 
 HEADLINE = [
     "load_txn_fact",
+    "load_txn_fact_staged",
     "load_member_dim",
     "load_member_dim_daily",
     "load_child_dim",

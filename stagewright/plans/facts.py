@@ -14,6 +14,7 @@ from stagewright.operators import (
     left_join,
     left_join_dated,
     on_date,
+    on_date_or_missing,
     project,
     with_time_parts,
 )
@@ -45,13 +46,18 @@ def txn_fact(
     marker_text: bool = False,
     legacy_null_size: bool = False,
     key: str = "fresh",
+    one_pass: bool = False,
 ) -> DataFrame:
     """One day's transactions with their receipts and members: 24 columns.
 
     A transaction stays if its receipt is of the day or undated, or if it has none at all; one
     whose receipts are all of other days is dropped. The member is looked up by the receipt's
-    loyalty id, so transactions without a receipt skip that join, and receipts without a loyalty
-    id are spread over the tasks. A member with several dimension rows gives several fact rows.
+    loyalty id; rows without one are spread over the tasks. A member with several dimension rows
+    gives several fact rows.
+
+    Receipts staged by date are read twice, the day's in full and the key of all. ``one_pass``
+    is for receipts that a query computes, where the second reading would compute them again: it
+    joins all of them, then filters. There a transaction with very many receipts stays in one task.
     """
     day = on_date(transactions, LOAD_DATE, load_date).select(*_TRANSACTION)
     receipt = receipts.select(
@@ -61,15 +67,19 @@ def txn_fact(
         "base_points",
         F.col(LOAD_DATE).alias("receipt_date"),
     )
-    matched, unmatched = left_join_dated(
-        day, receipt, "txn_id", "receipt_txn_id", load_date, "receipt_date"
-    )
-    matched = left_join(
+    if one_pass:
+        joined = left_join(day, receipt, "txn_id", "receipt_txn_id")
+        matched, rest = on_date_or_missing(joined, "receipt_date", load_date), None
+    else:
+        matched, rest = left_join_dated(
+            day, receipt, "txn_id", "receipt_txn_id", load_date, "receipt_date"
+        )
+    rows = left_join(
         matched, members.select("member_id"), "loyalty_id", "member_id", spread_nulls_by=["txn_id"]
     )
-    rows = with_time_parts(
-        matched.unionByName(unmatched, allowMissingColumns=True), "activity_ts", "txn_"
-    )
+    if rest is not None:
+        rows = rows.unionByName(rest, allowMissingColumns=True)
+    rows = with_time_parts(rows, "activity_ts", "txn_")
     fact = project(
         rows,
         {

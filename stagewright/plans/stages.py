@@ -70,15 +70,29 @@ def _read_source(spark: SparkSession, spec: Spec, load_date: dt.date) -> DataFra
     raise ValueError(f"source {spec['name']}: unknown kind {kind!r}")
 
 
+def _show(df: DataFrame, rows: int) -> None:
+    """Print the schema and first rows of what was written, rather than computing it again."""
+    df.printSchema()
+    df.show(rows, truncate=False)
+
+
 def _ingest_one(
-    spark: SparkSession, spec: Spec, staging_root: str, load_date: dt.date, overwrite: str
+    spark: SparkSession,
+    spec: Spec,
+    staging_root: str,
+    load_date: dt.date,
+    overwrite: str,
+    show_rows: int,
 ) -> int:
     df = _read_source(spark, spec, load_date)
     for struct, fields in spec.get("flatten", {}).items():
         df = flatten_struct(df, struct, fields)
     df = drop_columns(df, *spec.get("drop_columns", ()))
     df = df.withColumnsRenamed(dict(spec.get("rename", {})))
-    return stage(stamp_load_date(df, load_date), staging_root, spec["name"], overwrite)
+    rows = stage(stamp_load_date(df, load_date), staging_root, spec["name"], overwrite)
+    if show_rows:
+        _show(read_staged(spark, staging_root, spec["name"], load_date), show_rows)
+    return rows
 
 
 def _attempt(name: str, job: Callable[[], int]) -> dict:
@@ -101,19 +115,22 @@ def ingest(
     load_date: dt.date | None = None,
     overwrite: str = "static",
     parallel: int = 1,
+    show_rows: int = 0,
 ) -> list[dict]:
-    """Read, flatten, rename, stamp and stage every source; one job each, no preview.
+    """Read, flatten, rename, stamp and stage every source, each read once.
 
     All sources get one date, also if midnight passes meanwhile. ``parallel`` sources are staged
-    at a time, so that a small one need not leave the cluster idle. A source that fails does not
-    stop the others; ``LoadError`` names it at the end.
+    at a time, so that a small one need not leave the cluster idle. ``show_rows`` prints so many
+    staged rows of each. A source that fails does not stop the others; ``LoadError`` names it at
+    the end.
     """
     if load_date is None:
         load_date = spark.sql("select current_date()").first()[0]
 
     def one(spec: Spec) -> dict:
         return _attempt(
-            spec["name"], lambda: _ingest_one(spark, spec, staging_root, load_date, overwrite)
+            spec["name"],
+            lambda: _ingest_one(spark, spec, staging_root, load_date, overwrite, show_rows),
         )
 
     if parallel == 1:
@@ -169,6 +186,7 @@ def _load_one(
     staging_root: str,
     warehouse: Warehouse,
     load_date: dt.date,
+    show_rows: int,
 ) -> int:
     views = {
         name: read_staged(spark, staging_root, name) for name in as_list(spec.get("sources"))
@@ -185,7 +203,10 @@ def _load_one(
     else:
         rows = spec["build"](views, load_date)
     rows = rows.withColumnsRenamed(dict(spec.get("rename", {})))
-    return write_table(rows, spec["table"], warehouse, spec.get("num_files"))
+    written = write_table(rows, spec["table"], warehouse, spec.get("num_files"))
+    if show_rows:
+        _show(read_table(spark, spec["table"], warehouse), show_rows)
+    return written
 
 
 def load(
@@ -194,14 +215,16 @@ def load(
     staging_root: str,
     warehouse: Warehouse,
     load_date: dt.date,
+    show_rows: int = 0,
 ) -> list[dict]:
     """Build and overwrite every target in the order given.
 
     A target reads staged ``sources`` (one name or a list), earlier ``targets`` and other warehouse
     ``tables`` ({view: table}), and is built by ``build(views, load_date)`` or by the SQL text in
     ``query``. A target in a JDBC warehouse that others read should name its ``split_column`` and
-    ``partitions``, or it is read back by one task. When a target fails, those that read it are
-    left alone and the others still run; ``LoadError`` names them at the end.
+    ``partitions``, or it is read back by one task. ``show_rows`` prints so many rows of each
+    table. When a target fails, those that read it are left alone and the others still run;
+    ``LoadError`` names them at the end.
     """
     earlier: dict[str, Spec] = {}
     for spec in targets:
@@ -223,7 +246,9 @@ def load(
             continue
         result = _attempt(
             spec["name"],
-            lambda spec=spec: _load_one(spark, spec, earlier, staging_root, warehouse, load_date),
+            lambda spec=spec: _load_one(
+                spark, spec, earlier, staging_root, warehouse, load_date, show_rows
+            ),
         )
         if result["status"] == "done":
             done.add(spec["name"])

@@ -128,8 +128,9 @@ def dim(spark):
     return spark.createDataFrame([("m1",), ("m3",), ("m3",)], "member_id string")
 
 
-def test_txn_fact(transactions, receipts, dim):
-    fact = plans.txn_fact(transactions, receipts, dim, DAY)
+@pytest.mark.parametrize("one_pass", [False, True])
+def test_txn_fact(transactions, receipts, dim, one_pass):
+    fact = plans.txn_fact(transactions, receipts, dim, DAY, one_pass=one_pass)
     assert len(fact.columns) == 24
     found = sorted(
         ((r.txn_id, r.item_qty, r.member_id, r.txn_hour) for r in fact.collect()), key=repr
@@ -165,6 +166,7 @@ def test_loads_have_no_single_task_exchange(spark, transactions, receipts, dim,
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     loads = [
         plans.txn_fact(transactions, receipts, dim, DAY),
+        plans.txn_fact(transactions, receipts, dim, DAY, one_pass=True),
         plans.member_dim(members, addresses),
         plans.member_dim_daily(members, DAY),
         plans.child_dim(members, DAY),
@@ -297,6 +299,17 @@ def test_ingest_then_load(spark, tmp_path, parallel):
     ]
 
 
+def test_shown_rows_are_the_written_ones(spark, tmp_path, capsys):
+    staging = scratch_path(spark, "staging")
+    plans.ingest(spark, _sources(spark, tmp_path)[2:3], staging, DAY, show_rows=1)
+    shown = capsys.readouterr().out
+    assert "only showing top 1 row" in shown and "|-- load_date: date" in shown
+    warehouse = {"kind": "jdbc", "options": jdbc_options(spark)}
+    target = {"name": "m", "table": "m", "sources": "members", "query": "select id from members"}
+    plans.load(spark, [target], staging, warehouse, DAY, show_rows=5)
+    assert "|m1 |" in capsys.readouterr().out
+
+
 def test_failed_source_does_not_stop_others(spark, tmp_path):
     staging = scratch_path(spark, "staging")
     sources = _sources(spark, tmp_path)

@@ -139,6 +139,7 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.receipts(spark, sf_dir),
         project(inputs.table(spark, sf_dir, "customer"), {"member_id": "c_custkey"}),
         inputs.LOAD_PERIOD,
+        one_pass=True,
     )
     return _key_counts(fact, "txn_key")
 

@@ -369,3 +369,55 @@ def test_staged_fact_prunes_dates_and_shuffles_the_day_once(spark, transactions,
     key_only = [s for s in scans if "ReadSchema: struct<txn_id:string>" in s]
     assert [len(s) for s in (scans, of_day, with_undated, key_only)] == [4, 2, 1, 1]
     assert "ReusedExchange" in text
+
+
+def test_star_in_a_jdbc_warehouse(spark, members, addresses, transactions, receipts):
+    staging = scratch_path(spark, "staging")
+    staged = {
+        "members": members.withColumn("load_date", F.lit(DAY)),
+        "addresses": addresses.withColumn("load_date", F.lit(DAY)),
+        "transactions": transactions,
+        "receipts": receipts.withColumn("loyalty_id", F.regexp_replace("loyalty_id", "m", "")),
+    }
+    for name, df in staged.items():
+        df.write.partitionBy("load_date").parquet(f"{staging}/{name}")
+    targets = [
+        {
+            "name": "member_dim",
+            "table": "member_dim",
+            "sources": ["members", "addresses"],
+            "build": lambda v, day: plans.member_dim(v["members"], v["addresses"], key="stable"),
+            "split_column": '"member_key"',
+            "partitions": 3,
+        },
+        {
+            "name": "child_dim",
+            "table": "child_dim",
+            "sources": "members",
+            "build": lambda v, day: plans.child_dim(v["members"], day),
+        },
+        {
+            "name": "txn_fact",
+            "table": "txn_fact",
+            "sources": ["transactions", "receipts"],
+            "targets": "member_dim",
+            "build": lambda v, day: plans.txn_fact(
+                v["transactions"], v["receipts"], v["member_dim"], day, marker_text=True
+            ),
+            "num_files": 2,
+        },
+    ]
+    warehouse = {"kind": "jdbc", "options": jdbc_options(spark)}
+    for _ in range(2):
+        results = plans.load(spark, targets, staging, warehouse, DAY)
+        assert [r["rows"] for r in results] == [3, 2, 5]
+    fact = read_table(spark, "txn_fact", warehouse)
+    assert len(fact.columns) == 24
+    found = {(r.txn_id, r.item_qty, r.member_id) for r in fact.collect()}
+    assert found == {
+        ("1", 4, "1"),
+        ("2", None, None),
+        ("4", None, None),
+        ("6", 1, "3"),
+        (None, None, None),
+    }

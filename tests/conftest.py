@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         "tests",
         **{
             "spark.sql.warehouse.dir": str(work / "warehouse"),
-            "spark.checkpoint.dir": str(work / "shared"),
             "spark.sql.ui.retainedExecutions": "1",
         },
     )

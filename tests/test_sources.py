@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -221,9 +222,21 @@ def test_rebalance_writes_few_files_per_date(spark):
     assert files == {False: 32, True: 4}
 
 
-def test_scratch_path_is_fresh_and_shared(spark):
-    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+def _session(master, shared):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: shared or default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_scratch_path_is_fresh_and_shared():
+    cluster = _session("spark://host:7077", "hdfs://shared/")
+    one, two = scratch_path(cluster, "x"), scratch_path(cluster, "x")
+    assert one != two and one.startswith("hdfs://shared/x-")
+    assert scratch_path(_session("local[8]", "/shared"), "x").startswith("/shared/x-")
+    assert scratch_path(_session("local[8]", None), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(_session("spark://host:7077", None), "x")
 
 
 def test_one_name_or_a_list():

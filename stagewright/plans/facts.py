@@ -46,6 +46,7 @@ def txn_fact(
     marker_text: bool = False,
     legacy_null_size: bool = False,
     key: str = "fresh",
+    truncate: bool = False,
     one_pass: bool = False,
 ) -> DataFrame:
     """One day's transactions with their receipts and members: 24 columns.
@@ -104,7 +105,7 @@ def txn_fact(
             "ext_char_2": "mobile_os",
             "ext_char_3": "products",
             "ext_char_4": "receipt_status",
-            "ext_char_5": safe_cast("msg_code", "bigint"),
+            "ext_char_5": safe_cast("msg_code", "bigint", truncate),
             LOAD_DATE: LOAD_DATE,
         },
     )

@@ -421,3 +421,53 @@ def test_star_in_a_jdbc_warehouse(spark, members, addresses, transactions, recei
         ("6", 1, "3"),
         (None, None, None),
     }
+
+
+def test_two_days_ingested_and_loaded(spark, tmp_path):
+    staging, warehouse = scratch_path(spark, "staging"), {"kind": "spark"}
+    days = {OTHER: ([1, 2], ["1|m1", "3|m1"]), DAY: ([3, 4, 5], ["4|m1", "2|m1"])}
+    columns = ["txn_id", "loyalty_id", "products", "base_points"]
+    filler = '"activity_ts": "2021-07-25 01:02:03", "msg_code": "1"'
+
+    def sources(day):
+        return [
+            {
+                "name": "transactions",
+                "kind": "documents",
+                "path": str(tmp_path / f"txn_{day}.json"),
+                "schema": TRANSACTION_SCHEMA.replace(", load_date date", ""),
+            },
+            {
+                "name": "receipts",
+                "kind": "delimited",
+                "path": str(tmp_path),
+                "drop": "receipts",
+                "country": "GBR",
+                "header": False,
+                "columns": columns,
+            },
+        ]
+
+    for day, (ids, lines) in days.items():
+        documents = [f'{{"txn_id": {i}, {filler}}}\n' for i in ids]
+        (tmp_path / f"txn_{day}.json").write_text("".join(documents))
+        drop = "".join(f"{line}|a,b|5\n" for line in lines)
+        (tmp_path / f"receipts_GBR_{day:%d_%m_%Y}.csv").write_text(drop)
+    # The second day is ingested twice, as after a failed run.
+    for day in (OTHER, DAY, DAY):
+        plans.ingest(spark, sources(day), staging, day, overwrite="dynamic", parallel=2)
+
+    dim, fact = f"dim_{uuid.uuid4().hex}", f"fact_{uuid.uuid4().hex}"
+    write_table(spark.createDataFrame([("m1",)], "member_id string"), dim, warehouse)
+    target = {
+        "name": "fact",
+        "table": fact,
+        "sources": ["transactions", "receipts"],
+        "tables": {"dim": dim},
+        "build": lambda v, day: plans.txn_fact(v["transactions"], v["receipts"], v["dim"], day),
+    }
+    expected = {OTHER: {("1", "m1")}, DAY: {("4", "m1"), ("5", None)}}
+    for day, found in expected.items():
+        plans.load(spark, [target], staging, warehouse, day)
+        rows = read_table(spark, fact, warehouse).collect()
+        assert {(r.txn_id, r.member_id) for r in rows} == found and len(rows) == len(found)

@@ -60,6 +60,7 @@ def _read_source(spark: SparkSession, spec: Spec, load_date: dt.date) -> DataFra
             spec.get("delimiter", "|"),
             spec.get("header", True),
             spec.get("columns"),
+            spec.get("schema"),
             spec.get("format", "csv"),
             **options,
         )

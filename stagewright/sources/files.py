@@ -20,15 +20,18 @@ def read_delimited(
     delimiter: str = "|",
     header: bool = True,
     columns: Sequence[str] | None = None,
+    schema: Schema | None = None,
     format: str = "csv",
     **options: str,
 ) -> DataFrame:
     """Delimited text; every column is a string, typing comes later.
 
-    ``columns`` names the columns of a file without a header, which otherwise are ``_c0`` on.
+    ``columns`` names the columns of a file without a header, which otherwise are ``_c0`` on. With
+    a ``schema`` the columns are typed while reading, and values that do not fit are NULL.
     ``format`` may name a transfer connector, with its options.
     """
-    df = spark.read.format(format).load(path, delimiter=delimiter, header=header, **options)
+    reader = spark.read.format(format).options(delimiter=delimiter, header=header, **options)
+    df = (reader if schema is None else reader.schema(schema)).load(path)
     return df.toDF(*columns) if columns else df
 
 

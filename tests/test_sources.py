@@ -50,6 +50,17 @@ def test_delimited_without_header(spark, tmp_path):
     assert named.columns == ["id", "name"] and named.count() == 2
 
 
+def test_delimited_with_schema(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("id|n\n1|2\nx|3\n")
+    df = read_delimited(spark, str(tmp_path / "f.csv"), schema="id int, n bigint")
+    assert rows(df) == sorted([(1, 2), (None, 3)], key=repr)
+
+
+def test_delimited_through_another_format(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    assert read_delimited(spark, str(tmp_path / "p"), format="parquet").count() == 3
+
+
 def test_documents_inferred_and_declared(spark, tmp_path):
     (tmp_path / "d.json").write_text('{"b": 1, "a": {"x": "y"}}\n{"b": 2}\n')
     path = str(tmp_path / "d.json")

@@ -76,7 +76,11 @@ def txn_fact(
             day, receipt, "txn_id", "receipt_txn_id", load_date, "receipt_date"
         )
     rows = left_join(
-        matched, members.select("member_id"), "loyalty_id", "member_id", spread_nulls_by=["txn_id"]
+        matched,
+        members.select("member_id"),
+        "loyalty_id",
+        "member_id",
+        spread_nulls_by=["txn_id", "products", "base_points"],
     )
     if rest is not None:
         rows = rows.unionByName(rest, allowMissingColumns=True)

@@ -240,8 +240,8 @@ def load_all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
             "query": """
               SELECT t.txn_id, size(split(r.products, ',')) AS item_qty, m.member_id, t.load_date
               FROM transactions t
-              LEFT OUTER JOIN receipts r ON t.txn_id = try_cast(r.txn_id AS BIGINT)
-              LEFT OUTER JOIN member_dim m ON r.loyalty_id = m.member_id
+              LEFT JOIN receipts r ON t.txn_id = try_cast(r.txn_id AS BIGINT)
+              LEFT JOIN member_dim m ON r.loyalty_id = m.member_id
               WHERE t.load_date = :load_date
                 AND (r.load_date = :load_date OR r.load_date IS NULL)""",
         },

@@ -19,6 +19,9 @@ from stagewright import LOAD_DATE
 from stagewright.functions import key_cast
 from stagewright.operators.filters import on_date_or_missing
 
+# Groups that rows without a key are spread over; few enough to keep their sort cheap.
+NULL_BUCKETS = 1024
+
 _LEFT, _RIGHT, _SPREAD, _FIXED = "__left_key", "__right_key", "__spread", "__fixed"
 _HELPERS = (_LEFT, _RIGHT, _SPREAD, _FIXED)
 
@@ -87,10 +90,11 @@ def left_join(
         return matched.unionByName(rest, allowMissingColumns=True)
     on = F.col(lk) == F.col(rk)
     if spread_nulls_by:
-        spread = F.when(F.col(lk).isNull(), F.xxhash64(*spread_nulls_by)).otherwise(F.lit(0))
+        bucket = F.pmod(F.hash(*spread_nulls_by), F.lit(NULL_BUCKETS))
+        spread = F.when(F.col(lk).isNull(), bucket).otherwise(F.lit(0))
         lhs = lhs.withColumn(_SPREAD, spread)
         # Always 0, but not a constant that the optimizer would take out of the join key.
-        rhs = rhs.withColumn(_FIXED, F.pmod(F.xxhash64(rk), F.lit(1)))
+        rhs = rhs.withColumn(_FIXED, F.pmod(F.hash(rk), F.lit(1)))
         on = on & (F.col(_SPREAD) == F.col(_FIXED))
     return lhs.join(rhs, on, "left_outer").drop(*_HELPERS)
 

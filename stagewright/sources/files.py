@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stagewright import LOAD_DATE
-from stagewright.operators.filters import on_date
 
 Schema = T.StructType | str
 
@@ -73,8 +72,11 @@ def read_staged(
 ) -> DataFrame:
     """A staged source; the date column comes back last, as a date.
 
-    With ``load_date`` only that day's folder is read.
+    With ``load_date`` only that day's folder is listed and read, however many days are kept; it
+    is an error if nothing was staged for the day.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(staging_path(root, source))
-    return df if load_date is None else on_date(df, column, load_date)
+    path = staging_path(root, source)
+    if load_date is None:
+        return reader.parquet(path)
+    return reader.option("basePath", path).parquet(f"{path}/{column}={load_date.isoformat()}")

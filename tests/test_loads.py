@@ -462,7 +462,8 @@ def test_two_days_ingested_and_loaded(spark, tmp_path):
     target = {
         "name": "fact",
         "table": fact,
-        "sources": ["transactions", "receipts"],
+        "sources": "receipts",
+        "day_sources": "transactions",
         "tables": {"dim": dim},
         "build": lambda v, day: plans.txn_fact(v["transactions"], v["receipts"], v["dim"], day),
     }

@@ -1,5 +1,6 @@
 """Every registered query against its SQL."""
 
+import bench
 import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from workload.compare import connect, same
@@ -20,6 +21,10 @@ def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
 
 
+def test_benchmark_runs_registered_queries():
+    assert set(bench.HEADLINE) <= set(queries())
+
+
 def test_flagship_counts(spark, sf_dir):
     assert entry(spark).count() == 22
     assert queries()["load_txn_fact"](spark, "/root/testdata/sf0.01").count() == 199

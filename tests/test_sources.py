@@ -5,8 +5,9 @@ import uuid
 from types import SimpleNamespace
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from stagewright.operators import stamp_load_date
+from stagewright.operators import on_date, stamp_load_date
 from stagewright.plans.stages import as_list
 from stagewright.session import scratch_path
 from stagewright.sinks import stage, write_table
@@ -209,10 +210,21 @@ def test_rerun_of_a_day_replaces_it(spark):
     ]
 
 
-def test_staged_day_prunes_partitions(spark):
+def test_staged_day_lists_its_folder_only(spark):
     root = scratch_path(spark, "staging")
     stage(_batch(spark, FIRST, 1).unionAll(_batch(spark, SECOND, 2)), root, "s")
     df = read_staged(spark, root, "s", SECOND)
+    assert df.dtypes == [("id", "int"), ("load_date", "date")]
+    assert rows(df) == [(2, SECOND)]
+    assert all("load_date=2021-07-25" in name for name in df.inputFiles())
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_staged(spark, root, "s", dt.date(2021, 7, 26))
+
+
+def test_filter_on_staged_dates_prunes_folders(spark):
+    root = scratch_path(spark, "staging")
+    stage(_batch(spark, FIRST, 1).unionAll(_batch(spark, SECOND, 2)), root, "s")
+    df = on_date(read_staged(spark, root, "s"), "load_date", SECOND)
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     text = df._jdf.queryExecution().explainString(mode)
     assert "PartitionFilters: [isnotnull(load_date" in text and "DataFilters: []" in text

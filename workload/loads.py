@@ -220,13 +220,14 @@ def load_all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "name": "child_dim",
             "table": f"child_dim_{suffix}",
-            "sources": "children",
+            "day_sources": "children",
             "build": lambda views, day: plans.child_dim(views["children"], day),
         },
         {
             "name": "txn_fact",
             "table": f"txn_fact_{suffix}",
-            "sources": ["transactions", "receipts"],
+            "day_sources": "transactions",
+            "sources": "receipts",
             "targets": "member_dim",
             "build": lambda views, day: plans.txn_fact(
                 views["transactions"], views["receipts"], views["member_dim"], day

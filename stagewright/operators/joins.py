@@ -82,7 +82,8 @@ def left_join(
 
     ``hot_right`` is for a large right side with very many rows of one key. Spark does not split
     those in an outer join, so they are joined by an inner one, and an anti join adds the left
-    rows without a partner.
+    rows without a partner. Both sides may then be evaluated more than once, so neither may hold
+    fresh keys.
     """
     lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
     if hot_right:
@@ -112,7 +113,7 @@ def left_join_dated(
     Returns the matched rows (columns of both sides; the right's date column is left out) and the
     left rows that have no partner of any date. Only partners of the date travel in full; for the
     others the key alone is read. The matched part is an inner join, so a hot key can be split on
-    either side.
+    either side. Both sides may be evaluated more than once, so neither may hold fresh keys.
     """
     lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
     partners = on_date_or_missing(rhs, date_column, date).drop(date_column)

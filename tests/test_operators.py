@@ -279,3 +279,19 @@ def test_preview(spark):
     df = spark.range(100)
     assert ops.preview(df, 5).count() == 5
     assert rows(ops.preview(df, 2, ["id"])) == [(0,), (1,)]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
+def test_time_parts_by_type(spark, kind):
+    df = spark.createDataFrame([("2021-07-25 13:14:15.5",), (None,)], "t string")
+    df = df.select(F.col("t").cast("timestamp_ntz").cast(kind).alias("t"))
+    first, second = ops.with_time_parts(df, "t", "p_").collect()
+    clock = (0, 0, 0) if kind == "date" else (13, 14, 15)
+    assert (first.p_date, first.p_hour, first.p_minute, first.p_second) == (DAY, *clock)
+    assert [second[name] for name in ("p_date", "p_hour", "p_minute", "p_second")] == [None] * 4
+
+
+def test_a_date_equals_the_day_of_a_timestamp_with_time(spark):
+    moments = spark.sql("select timestamp_ntz'2021-07-25 23:59:59.999999' as d")
+    assert ops.on_date(moments, "d", DAY).count() == 1
+    assert ops.on_date(moments, "d", OTHER).count() == 0

@@ -224,10 +224,10 @@ def load(
 
     A target reads staged ``sources`` of all dates, ``day_sources`` of the load date only (one name
     or a list each), earlier ``targets`` and other warehouse ``tables`` ({view: table}), and is
-    built by ``build(views, load_date)`` or by the SQL text in ``query``. A target in a JDBC warehouse that others read should name its ``split_column`` and
-    ``partitions``, or it is read back by one task. ``show_rows`` prints so many rows of each
-    table. When a target fails, those that read it are left alone and the others still run;
-    ``LoadError`` names them at the end.
+    built by ``build(views, load_date)`` or by the SQL text in ``query``. A target in a JDBC
+    warehouse that others read should name its ``split_column`` and ``partitions``, or it is read
+    back by one task. ``show_rows`` prints so many rows of each table. When a target fails, those
+    that read it are left alone and the others still run; ``LoadError`` names them at the end.
     """
     earlier: dict[str, Spec] = {}
     for spec in targets:

@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from stagewright import LOAD_DATE
 from stagewright.operators import drop_columns, flatten_struct, stamp_load_date
 from stagewright.sinks import stage, write_table
 from stagewright.sources import (
@@ -84,15 +85,18 @@ def _ingest_one(
     load_date: dt.date,
     overwrite: str,
     show_rows: int,
+    date_column: str,
 ) -> int:
     df = _read_source(spark, spec, load_date)
     for struct, fields in spec.get("flatten", {}).items():
         df = flatten_struct(df, struct, fields)
     df = drop_columns(df, *spec.get("drop_columns", ()))
     df = df.withColumnsRenamed(dict(spec.get("rename", {})))
-    rows = stage(stamp_load_date(df, load_date), staging_root, spec["name"], overwrite)
+    name, stamped = spec["name"], stamp_load_date(df, load_date, date_column)
+    rows = stage(stamped, staging_root, name, overwrite, date_column)
     if show_rows:
-        _show(read_staged(spark, staging_root, spec["name"], load_date), show_rows)
+        staged = read_staged(spark, staging_root, name, load_date, column=date_column)
+        _show(staged, show_rows)
     return rows
 
 
@@ -117,13 +121,14 @@ def ingest(
     overwrite: str = "static",
     parallel: int = 1,
     show_rows: int = 0,
+    date_column: str = LOAD_DATE,
 ) -> list[dict]:
     """Read, flatten, rename, stamp and stage every source, each read once.
 
     All sources get one date, also if midnight passes meanwhile. ``parallel`` sources are staged
     at a time, so that a small one need not leave the cluster idle. ``show_rows`` prints so many
-    staged rows of each. A source that fails does not stop the others; ``LoadError`` names it at
-    the end.
+    staged rows of each. Another ``date_column`` than the library's own suits loads given as SQL
+    text. A source that fails does not stop the others; ``LoadError`` names it at the end.
     """
     if load_date is None:
         load_date = spark.sql("select current_date()").first()[0]
@@ -131,7 +136,9 @@ def ingest(
     def one(spec: Spec) -> dict:
         return _attempt(
             spec["name"],
-            lambda: _ingest_one(spark, spec, staging_root, load_date, overwrite, show_rows),
+            lambda: _ingest_one(
+                spark, spec, staging_root, load_date, overwrite, show_rows, date_column
+            ),
         )
 
     if parallel == 1:
@@ -188,12 +195,13 @@ def _load_one(
     warehouse: Warehouse,
     load_date: dt.date,
     show_rows: int,
+    date_column: str,
 ) -> int:
     views = {
         name: read_staged(spark, staging_root, name) for name in as_list(spec.get("sources"))
     }
     for name in as_list(spec.get("day_sources")):
-        views[name] = read_staged(spark, staging_root, name, load_date)
+        views[name] = read_staged(spark, staging_root, name, load_date, column=date_column)
     for name in as_list(spec.get("targets")):
         read = earlier[name]
         views[name] = read_table(
@@ -219,6 +227,7 @@ def load(
     warehouse: Warehouse,
     load_date: dt.date,
     show_rows: int = 0,
+    date_column: str = LOAD_DATE,
 ) -> list[dict]:
     """Build and overwrite every target in the order given.
 
@@ -250,7 +259,7 @@ def load(
         result = _attempt(
             spec["name"],
             lambda spec=spec: _load_one(
-                spark, spec, earlier, staging_root, warehouse, load_date, show_rows
+                spark, spec, earlier, staging_root, warehouse, load_date, show_rows, date_column
             ),
         )
         if result["status"] == "done":

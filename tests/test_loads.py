@@ -472,3 +472,24 @@ def test_two_days_ingested_and_loaded(spark, tmp_path):
         plans.load(spark, [target], staging, warehouse, day)
         rows = read_table(spark, fact, warehouse).collect()
         assert {(r.txn_id, r.member_id) for r in rows} == found and len(rows) == len(found)
+
+
+def test_queries_with_their_own_date_column_and_older_rules(spark, tmp_path):
+    staging, table = scratch_path(spark, "staging"), f"own_{uuid.uuid4().hex}"
+    (tmp_path / "members.csv").write_text("id|code\n1|44\n1|44\n2|70000\n3|abc\n")
+    source = {"name": "extract", "kind": "delimited", "path": str(tmp_path / "members.csv")}
+    plans.ingest(spark, [source], staging, DAY, "dynamic", date_column="insert_date")
+    target = {
+        "name": "own",
+        "table": table,
+        "day_sources": "extract",
+        "ansi": False,
+        "query": """
+          SELECT monotonically_increasing_id() AS row_key, id, code, "@NULL@" AS marker, insert_date
+          FROM (SELECT DISTINCT id, CAST(code AS SMALLINT), insert_date FROM extract
+                WHERE insert_date = '2021-07-25') extract""",
+    }
+    plans.load(spark, [target], staging, {"kind": "spark"}, DAY, date_column="insert_date")
+    found = {(r.id, r.code, r.marker, r.insert_date) for r in spark.table(table).collect()}
+    codes = {"1": 44, "2": None, "3": None}
+    assert found == {(i, code, "@NULL@", DAY) for i, code in codes.items()}

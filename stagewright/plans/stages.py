@@ -14,7 +14,12 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from stagewright import LOAD_DATE
-from stagewright.operators import drop_columns, flatten_struct, stamp_load_date
+from stagewright.operators import (
+    drop_columns,
+    duplicate_keys,
+    flatten_struct,
+    stamp_load_date,
+)
 from stagewright.sinks import stage, write_table
 from stagewright.sources import (
     dated_path,
@@ -187,6 +192,11 @@ def sql_load(
         return spark.sql(query, args=args)
 
 
+def _read_target(spark: SparkSession, spec: Spec, warehouse: Warehouse) -> DataFrame:
+    split, partitions = spec.get("split_column"), spec.get("partitions", 2)
+    return read_table(spark, spec["table"], warehouse, split, partitions)
+
+
 def _load_one(
     spark: SparkSession,
     spec: Spec,
@@ -203,10 +213,7 @@ def _load_one(
     for name in as_list(spec.get("day_sources")):
         views[name] = read_staged(spark, staging_root, name, load_date, column=date_column)
     for name in as_list(spec.get("targets")):
-        read = earlier[name]
-        views[name] = read_table(
-            spark, read["table"], warehouse, read.get("split_column"), read.get("partitions", 2)
-        )
+        views[name] = _read_target(spark, earlier[name], warehouse)
     for name, table in spec.get("tables", {}).items():
         views[name] = read_table(spark, table, warehouse)
     if "query" in spec:
@@ -215,8 +222,12 @@ def _load_one(
         rows = spec["build"](views, load_date)
     rows = rows.withColumnsRenamed(dict(spec.get("rename", {})))
     written = write_table(rows, spec["table"], warehouse, spec.get("num_files"))
-    if show_rows:
-        _show(read_table(spark, spec["table"], warehouse), show_rows)
+    if "unique" in spec or show_rows:
+        stored = _read_target(spark, spec, warehouse)
+        if "unique" in spec and not duplicate_keys(stored, spec["unique"]).isEmpty():
+            raise RuntimeError(f"rows of {spec['table']} share a {spec['unique']}")
+        if show_rows:
+            _show(stored, show_rows)
     return written
 
 
@@ -235,8 +246,9 @@ def load(
     or a list each), earlier ``targets`` and other warehouse ``tables`` ({view: table}), and is
     built by ``build(views, load_date)`` or by the SQL text in ``query``. A target in a JDBC
     warehouse that others read should name its ``split_column`` and ``partitions``, or it is read
-    back by one task. ``show_rows`` prints so many rows of each table. When a target fails, those
-    that read it are left alone and the others still run; ``LoadError`` names them at the end.
+    back by one task. A key named in ``unique`` is checked in the stored table. ``show_rows`` prints
+    so many rows of each table. When a target fails, those that read it are left alone and the
+    others still run; ``LoadError`` names them at the end.
     """
     earlier: dict[str, Spec] = {}
     for spec in targets:

@@ -389,6 +389,7 @@ def test_star_in_a_jdbc_warehouse(spark, members, addresses, transactions, recei
             "build": lambda v, day: plans.member_dim(v["members"], v["addresses"], key="stable"),
             "split_column": '"member_key"',
             "partitions": 3,
+            "unique": "member_key",
         },
         {
             "name": "child_dim",
@@ -493,3 +494,14 @@ def test_queries_with_their_own_date_column_and_older_rules(spark, tmp_path):
     found = {(r.id, r.code, r.marker, r.insert_date) for r in spark.table(table).collect()}
     codes = {"1": 44, "2": None, "3": None}
     assert found == {(i, code, "@NULL@", DAY) for i, code in codes.items()}
+
+
+def test_shared_key_fails_the_load(spark):
+    staging, table = scratch_path(spark, "staging"), f"t_{uuid.uuid4().hex}"
+    rows = spark.createDataFrame([(1,), (1,), (2,)], "k int").withColumn("load_date", F.lit(DAY))
+    rows.write.partitionBy("load_date").parquet(f"{staging}/s")
+    target = {"name": "t", "table": table, "sources": "s", "unique": "k", "query": "table s"}
+    with pytest.raises(LoadError, match="share a k"):
+        plans.load(spark, [target], staging, {"kind": "spark"}, DAY)
+    target["query"] = "select distinct k from s"
+    assert plans.load(spark, [target], staging, {"kind": "spark"}, DAY)[0]["rows"] == 2

@@ -3,6 +3,7 @@
 import bench
 import pytest
 from __spark_entry__ import entry, oracle_sql, queries
+from workload import ORACLES, QUERIES
 from workload.compare import connect, same
 
 
@@ -11,14 +12,16 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, sf_dir, con, name):
     ok, detail = same(queries()[name](spark, sf_dir), con, oracle_sql()[name])
     assert ok, detail
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_benchmark_runs_registered_queries():

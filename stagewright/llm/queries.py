@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewright.llm import mixing, secrets, simhash
+from stagewright.llm import kdsearch, mixing, projected, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+OP3_SQL = f"""
+WITH whole AS (
+  SELECT vec_id, [floor({kdsearch.SCALE} * CAST(x AS DOUBLE)) for x in embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % {kdsearch.EVERY} = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= {kdsearch.TOP}"""
+
+
+@query(OP3_SQL)
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products of each query."""
+    return kdsearch.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query(None)
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five neighbours of each query by cosine, found by projections."""
+    return projected.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @query(None)
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewright.llm import kdsearch, mixing, projected, secrets, simhash
+from stagewright.llm import kdsearch, langid, mixing, projected, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(None)
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by the shortest code."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 OP3_SQL = f"""
 WITH whole AS (
   SELECT vec_id, [floor({kdsearch.SCALE} * CAST(x AS DOUBLE)) for x in embedding] AS v

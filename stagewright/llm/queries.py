@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewright.llm import kdsearch, langid, mixing, projected, secrets, simhash
+from stagewright.llm import kdsearch, langid, mixing, pieces, projected, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +132,21 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(None)
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document, and whether decoding them gives its text back."""
+    vocabulary = pieces.load()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.with_pieces(docs, vocabulary=vocabulary)
+    back = pieces.decode(spark, F.col("pieces"), vocabulary)
+    return coded.select(
+        "doc_id",
+        F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        back.eqNullSafe(F.col("text")).alias("exact"),
+        "pieces",
+    )
+
+
 OP9_SQL = f"""
 WITH sized AS (
   SELECT doc_id,

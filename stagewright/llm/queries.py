@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewright.llm import kdsearch, langid, mixing, pieces, projected, secrets, simhash
+from stagewright.llm import kdsearch, langid, mixing, pieces, projected, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,13 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdsearch.top_k(table(spark, sf_dir, "embeddings"))
 
 
+@query(None)
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 @query(None)
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five neighbours of each query by cosine, found by projections."""

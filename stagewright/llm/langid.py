@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewright.llm.common import fresh, small_batches
-from stagewright.llm.training import RANGE, held_out, spread
+from stagewright.llm.training import held_out, thinned
 
 ORDER, CONTEXTS = 3, 16384
 PER, MOST_BYTES = 400, 32768
@@ -152,18 +152,12 @@ def sample(
     ``per`` rows, so the driver gets a number of bytes that does not grow with the table.
     """
     rows = docs.select(
-        F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
-    ).filter(~held_out(F.col(doc_id), modulus, remainder) & F.col("lang").isNotNull())
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return {}
-    limits = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(RANGE, int(1.5 * per * RANGE / n)))])
-    thin = rows.withColumn("place", spread(F.col("id"))).filter(
-        (F.col("place") <= limits[F.col("lang")]) & (F.octet_length("text") <= most_bytes)
-    )
+        F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("stratum"), F.col(text).alias("text")
+    ).filter(~held_out(F.col(doc_id), modulus, remainder) & F.col("stratum").isNotNull())
+    thin = thinned(rows, per).filter(F.octet_length("text") <= most_bytes)
     out: dict[str, list[bytes]] = {}
-    for row in sorted(thin.collect(), key=lambda r: (r.lang, r.place, r.id, r.text)):
-        texts = out.setdefault(row.lang, [])
+    for row in sorted(thin.collect(), key=lambda r: (r.stratum, r.place, r.id, r.text)):
+        texts = out.setdefault(row.stratum, [])
         if len(texts) < per:
             texts.append(row.text.encode("utf-8", "surrogatepass"))
     return out

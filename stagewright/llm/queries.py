@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewright.llm import kdsearch, langid, mixing, pieces, projected, quality, secrets, simhash
+from stagewright.llm import kdsearch, langid, mixing, pieces, projected, quality, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(None)
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 @query(None)
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document by the shortest code."""

@@ -21,21 +21,27 @@ def spread(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(RANGE))
 
 
-def sample_ids(rows: DataFrame, per: int) -> DataFrame:
-    """At most ``per`` rows (``id, stratum``) of each stratum, the first by a hash of the id.
+def thinned(rows: DataFrame, per: int) -> DataFrame:
+    """About one and a half times ``per`` rows (``id, stratum``) of each stratum, by a hash of the id.
 
-    Strata are counted, then thinned to about one and a half times ``per`` rows by the hash, so
-    no stratum is ever sorted as a whole. The result has ``per`` rows per stratum at most, which
-    bounds what is broadcast from it.
+    The strata, classes or languages, are few and are counted first, so that rows are thinned where
+    they are read and no stratum is ever brought together. ``place`` is what to order by.
     """
-    counts = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"))
-    thin = rows.join(counts, "stratum").filter(
-        spread(F.col("id")) <= F.lit(1.5 * per * RANGE) / F.col("n")
-    )
-    order = Window.partitionBy("stratum").orderBy(spread(F.col("id")), "id")
+    counted = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counted:
+        return rows.withColumn("place", spread(F.col("id"))).limit(0)
+    limits = [x for r in counted for x in (r.stratum, min(RANGE, int(1.5 * per * RANGE / r.n)))]
+    limit = F.create_map(*map(F.lit, limits))[F.col("stratum")]
+    return rows.withColumn("place", spread(F.col("id"))).filter(F.col("place") <= limit)
+
+
+def sample_ids(rows: DataFrame, per: int) -> DataFrame:
+    """At most ``per`` rows (``id, stratum``) of each stratum, the first by a hash of the id."""
+    order = Window.partitionBy("stratum").orderBy("place", "id")
     return (
-        thin.withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= per)
+        thinned(rows, per)
+        .withColumn("number", F.row_number().over(order))
+        .filter(F.col("number") <= per)
         .select("id", "stratum")
     )
 

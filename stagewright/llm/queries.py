@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stagewright.llm import kdsearch, langid, mixing, pieces, projected, quality, secrets, simhash, toxicity
+from stagewright.llm import (
+    kdsearch,
+    langid,
+    mixing,
+    passages,
+    pieces,
+    projected,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -215,3 +226,12 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("mix_target").alias("target"),
         (F.col("mix_copies") * F.col("mix_size")).alias("taken"),
     )
+
+
+@query(None)
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated passages."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return passages.without_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )

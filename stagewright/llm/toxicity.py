@@ -20,12 +20,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagewright.llm.common import fresh, small_batches
@@ -345,36 +345,23 @@ class Scorer:
         return np.where(np.isfinite(logits), found, 0.0)
 
 
-def score(
+def scorer_of(
     docs: DataFrame,
     labels: DataFrame,
     *,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    label: str = "toxic",
-    modulus: int = MODULUS,
-    remainder: int = REMAINDER,
-    per: int = PER,
-    most_chars: int = MOST_CHARS,
-    learn_from: DataFrame | None = None,
-) -> DataFrame:
-    """The documents with ``held_out``, ``score`` and ``predicted``; columns so named are replaced.
-
-    The texts of the labelled rows come from ``learn_from`` if it is given, else from ``docs``.
-    """
+    doc_id: str,
+    text: str,
+    label: str,
+    modulus: int,
+    remainder: int,
+    per: int,
+    most_chars: int,
+) -> Callable[[Column], Column]:
+    """Learns from the labelled rows and gives what scores a text column."""
     spark = docs.sparkSession
     small_batches(spark)
-    texts, y, share = labelled_texts(
-        docs if learn_from is None else learn_from,
-        labels,
-        label,
-        modulus=modulus,
-        remainder=remainder,
-        per=per,
-        most_chars=most_chars,
-        doc_id=doc_id,
-        text=text,
-    )
+    bounds = {"modulus": modulus, "remainder": remainder, "per": per, "most_chars": most_chars}
+    texts, y, share = labelled_texts(docs, labels, label, doc_id=doc_id, text=text, **bounds)
     model = spark.sparkContext.broadcast(learn(texts, y, share) if len(set(y)) == 2 else None)
 
     @F.pandas_udf("double")
@@ -384,6 +371,24 @@ def score(
             bodies = [x or "" for x in batch]
             yield pd.Series(scorer.scores(bodies) if scorer else np.full(len(bodies), share))
 
+    return each
+
+
+def score(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    modulus: int = MODULUS,
+    remainder: int = REMAINDER,
+    per: int = PER,
+    most_chars: int = MOST_CHARS,
+) -> DataFrame:
+    """The documents with ``held_out``, ``score`` and ``predicted``; columns so named are replaced."""
+    bounds = {"modulus": modulus, "remainder": remainder, "per": per, "most_chars": most_chars}
+    each = scorer_of(docs, labels, doc_id=doc_id, text=text, label=label, **bounds)
     (found,) = fresh(docs, "found")
     plain = [c for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
     return docs.withColumn(found, each(F.col(text))).select(
@@ -392,3 +397,28 @@ def score(
         F.col(found).alias("score"),
         (F.col(found) >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def without_toxic(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    threshold: float = 0.5,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "toxic",
+    modulus: int = MODULUS,
+    remainder: int = REMAINDER,
+    per: int = PER,
+    most_chars: int = MOST_CHARS,
+) -> DataFrame:
+    """The documents, with their own columns, that score below ``threshold``.
+
+    Without labels of both classes nothing is known to be toxic, and every document stays.
+    """
+    bounds = {"modulus": modulus, "remainder": remainder, "per": per, "most_chars": most_chars}
+    known = labels.filter(F.col(label).isin(0, 1)).agg(F.count_distinct(label)).first()[0]
+    if known < 2:
+        return docs
+    each = scorer_of(docs, labels, doc_id=doc_id, text=text, label=label, **bounds)
+    return docs.filter(each(F.col(text)) < threshold)

@@ -2,11 +2,11 @@
 
 A byte goes if some string of ``LENGTH`` bytes that covers it starts anywhere else as well, in the
 same document or another; strings are judged on the input. Every such string, every window, has an
-anchor: the leftmost least of the hashes of its 16-byte strings. Equal windows have equal anchors, so
+anchor: the leftmost least of the hashes of its 32-byte strings. Equal windows have equal anchors, so
 what one shard has to compare is brought together by the anchor's hash, and an anchor that occurs
 once needs no look at its bytes at all. The steps:
 
-1. Each document gives its anchors, about one in 90 bytes: the windows that have it (they are in one
+1. Each document gives its anchors, about one in 80 bytes: the windows that have it (they are in one
    run), the anchor's hash, and a hash of the run's bytes.
 2. Anchors with one occurrence are dropped. Runs that occur twice byte by byte are repeated as a
    whole. What is left are runs that share an anchor but differ: the ends of passages.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from stagewright.llm.common import fresh, slices, small_batches, written
 
 #: Bytes of a window, and of the strings that can be its anchor.
-LENGTH, GRAM = 200, 16
+LENGTH, GRAM = 200, 32
 #: Bytes of runs in a shard, and different runs of one anchor in a shard.
 SHARD_BYTES, SHARD_RUNS = 1 << 20, 8192
 #: Ranges that each shard of a hot anchor is cut into, per shard.
@@ -44,7 +44,10 @@ RANGES = 4
 #: Bytes whose anchors are found at a time; places fit the low bits of the sort key.
 _PIECE, _PLACE = (1 << 20) - 4096, np.uint64((1 << 20) - 1)
 _TABLE = np.random.default_rng(42).integers(0, 1 << 64, 256, np.uint64)
-_MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
+_MIX = np.array(
+    [0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD],
+    np.uint64,
+)
 
 
 def _body(text: str | None) -> bytes:
@@ -58,7 +61,7 @@ def gram_hashes(flat: np.ndarray) -> np.ndarray:
         out = out[:-width] * _MIX[width.bit_length() - 1] + out[width:]
         width *= 2
     out ^= out >> np.uint64(32)
-    out *= _MIX[4]
+    out *= _MIX[-1]
     out ^= out >> np.uint64(29)
     return out
 

@@ -134,9 +134,12 @@ def suffix_order(words: np.ndarray, ends: np.ndarray, run: np.ndarray) -> tuple[
         if not len(open_):
             return order, rank
         suffix = order[open_]
-        beyond = suffix + h
-        after = np.where(beyond < ends[suffix], rank[np.minimum(beyond, n - 1)] + runs, run[suffix])
-        key = group[open_] * np.int64(n + runs) + after
+        beyond, left = suffix + h, ends[suffix] - suffix
+        # Where a run has ended, a shorter rest comes first; words are filled up with zeros.
+        ended = left * runs + run[suffix]
+        least = (h + 1) * runs
+        after = np.where(left > h, rank[np.minimum(beyond, n - 1)] + least, ended)
+        key = group[open_] * np.int64(n + least) + after
         turn = np.argsort(key, kind="stable")
         key = key[turn]
         order[open_] = suffix[turn]

@@ -26,9 +26,10 @@ def _is_whole(to: str) -> bool:
 def safe_cast(value: str | Column, to: str, truncate: bool = False) -> Column:
     """Cast, giving NULL where the value does not fit, whatever the session's ANSI mode.
 
-    For whole-number types the value is taken as text. Text that is no number is sorted out by
-    pattern and numbers out of range by comparison, since each failure inside ``try_cast`` raises
-    and catches an exception: on columns with many bad values that takes twenty times as long.
+    Text that is to be a whole number is sorted out by pattern, and numbers out of range by
+    comparison, since each failure inside ``try_cast`` raises and catches an exception: on columns
+    with many bad values that takes twenty times as long. Values of other types are cast as they
+    are, so 12.0 and true become 12 and 1.
 
     ``truncate=True`` also accepts decimal text for whole-number types and drops the fraction
     ("12.7" becomes 12), as a non-ANSI cast does.
@@ -37,6 +38,12 @@ def safe_cast(value: str | Column, to: str, truncate: bool = False) -> Column:
     to = _OTHER_NAMES.get(to, to)
     if not _is_whole(to):
         return column.try_cast(to)
+    # A constant once the column's type is known, so the other branch leaves the plan.
+    is_text = F.typeof(column) == "string"
+    return F.when(is_text, _whole_from_text(column, to, truncate)).otherwise(column.try_cast(to))
+
+
+def _whole_from_text(column: Column, to: str, truncate: bool) -> Column:
     text, digits = column.cast("string"), _DIGITS if to == "bigint" else _SHORT_DIGITS
     if truncate:
         valid = text.rlike(_number_text(f"{digits}({_FRACTION})?"))

@@ -18,8 +18,8 @@ def _falls_on(df: DataFrame, column: str, date: dt.date | None) -> Column:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return (value >= day.cast(kind)) & (value < F.date_add(day, 1).cast(kind))
     if isinstance(kind, T.StringType):
-        # The prefix reaches the scan, the cast rejects text that only begins like the day.
-        return value.startswith(day.cast("string")) & (value.try_cast("date") == day)
+        # By the cast alone: '2021-7-25', blanks around it or a time after it are the same day.
+        return value.try_cast("date") == day
     return value == day
 
 
@@ -27,7 +27,7 @@ def on_date(df: DataFrame, column: str, date: dt.date | None = None) -> DataFram
     """Rows of one day, by default today.
 
     On a partition column this prunes partitions, on others row groups. A text column counts by
-    its ISO date.
+    the date that it casts to.
     """
     return df.where(_falls_on(df, column, date))
 

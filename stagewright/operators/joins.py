@@ -23,7 +23,10 @@ from stagewright.operators.filters import on_date_or_missing
 NULL_BUCKETS = 1024
 
 _LEFT, _RIGHT, _SPREAD, _FIXED = "__left_key", "__right_key", "__spread", "__fixed"
+_FOUND, _TIMES, _BLOCK, _COPY = "__found_key", "__times", "__block", "__copy"
 _HELPERS = (_LEFT, _RIGHT, _SPREAD, _FIXED)
+# Copies that one row makes of itself at a time.
+COPY_BLOCK = 1024
 
 
 def _keyed(
@@ -60,7 +63,11 @@ def _matched_and_rest(
     with_key = left.where(F.col(lk).isNotNull())
     matched = with_key.join(partners, on, "inner")
     # Distinct merges a hot key's copies before the shuffle.
-    rest = with_key.join(known.select(rk).distinct(), on, "left_anti")
+    # An outer join and a test for no match, not an anti join: Spark may then put a bloom filter
+    # of the left keys at the scan of a large history, so what is shuffled follows the left rows.
+    found = known.select(F.col(rk).alias(_FOUND)).distinct()
+    rest = with_key.join(found, F.col(lk) == F.col(_FOUND), "left_outer")
+    rest = rest.where(F.col(_FOUND).isNull()).drop(_FOUND)
     without_key = left.where(F.col(lk).isNull())
     return matched.drop(*_HELPERS), rest.unionAll(without_key).drop(*_HELPERS)
 
@@ -100,6 +107,33 @@ def left_join(
     return lhs.join(rhs, on, "left_outer").drop(*_HELPERS)
 
 
+def left_join_keys(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    spread_nulls_by: Sequence[str] = (),
+) -> DataFrame:
+    """Left outer join that needs only the right side's key: a left row once for each equal key.
+
+    The right keys are counted, merged before the shuffle, so a key with very many rows is one row
+    in the join; matched left rows are then repeated as often as the key occurs. The repetition is
+    in two steps, so no row ever holds an array of more than ``COPY_BLOCK`` or count / ``COPY_BLOCK``.
+    """
+    counted = right.groupBy(right_key).agg(F.count(F.lit(1)).alias(_TIMES))
+    joined = left_join(left, counted, left_key, right_key, spread_nulls_by)
+    times = F.coalesce(F.col(_TIMES), F.lit(1).cast("bigint"))
+    one = F.lit(1).cast("bigint")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((times - 1) / COPY_BLOCK))
+    left_over = times - F.col(_BLOCK) * COPY_BLOCK
+    size = F.least(left_over, F.lit(COPY_BLOCK).cast("bigint"))
+    return (
+        joined.withColumn(_BLOCK, F.explode(blocks))
+        .withColumn(_COPY, F.explode(F.sequence(one, size)))
+        .drop(_TIMES, _BLOCK, _COPY)
+    )
+
+
 def left_join_dated(
     left: DataFrame,
     right: DataFrame,

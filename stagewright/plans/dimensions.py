@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
@@ -28,14 +29,26 @@ def _registration(members: DataFrame, truncate: bool) -> DataFrame:
     )
 
 
+# What identifies a member or a child from one day to the next.
+MEMBER_KEY = ("member_id",)
+CHILD_KEY = ("member_id", "child_id")
+
+
 def member_dim(
-    members: DataFrame, addresses: DataFrame, key: str = "fresh", truncate: bool = False
+    members: DataFrame,
+    addresses: DataFrame,
+    key: str = "fresh",
+    truncate: bool = False,
+    key_columns: Sequence[str] = MEMBER_KEY,
 ) -> DataFrame:
-    """Registrations with their address: 13 columns, for every staged date."""
+    """Registrations with their address: 13 columns, for every staged date.
+
+    A stable key depends on ``key_columns`` only, so rows of one member on several days share it.
+    """
     address = addresses.select("consumer_id", "street", "city", "state")
     rows = distinct_join(_registration(members, truncate), address, "member_id", "consumer_id")
     order = [name for name in rows.columns if name != LOAD_DATE]
-    return add_key(rows.select(*order, LOAD_DATE), "member_key", key)
+    return add_key(rows.select(*order, LOAD_DATE), "member_key", key, key_columns)
 
 
 def member_dim_daily(
@@ -43,14 +56,21 @@ def member_dim_daily(
     load_date: dt.date | None = None,
     key: str = "fresh",
     truncate: bool = False,
+    key_columns: Sequence[str] = MEMBER_KEY,
 ) -> DataFrame:
     """Registrations of one load date, by default today, without addresses: 10 columns."""
     today = on_date(members, LOAD_DATE, load_date)
-    return add_key(distinct_rows(_registration(today, truncate)), "member_key", key)
+    rows = distinct_rows(_registration(today, truncate))
+    return add_key(rows, "member_key", key, key_columns)
 
 
-def child_dim(members: DataFrame, load_date: dt.date, key: str = "fresh") -> DataFrame:
+def child_dim(
+    members: DataFrame,
+    load_date: dt.date,
+    key: str = "fresh",
+    key_columns: Sequence[str] = CHILD_KEY,
+) -> DataFrame:
     """Children of the members of one load date: 7 columns."""
     children = present(on_date(members, LOAD_DATE, load_date), "child_id")
     columns = ["member_id", "country_code", "child_id", "child_number", "child_gender", LOAD_DATE]
-    return add_key(distinct_rows(children, columns), "child_key", key)
+    return add_key(distinct_rows(children, columns), "child_key", key, key_columns)

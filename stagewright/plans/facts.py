@@ -13,6 +13,7 @@ from stagewright.operators import (
     add_key,
     left_join,
     left_join_dated,
+    left_join_keys,
     on_date,
     on_date_or_missing,
     project,
@@ -45,7 +46,6 @@ def txn_fact(
     load_date: dt.date,
     marker_text: bool = False,
     legacy_null_size: bool = False,
-    key: str = "fresh",
     truncate: bool = False,
     one_pass: bool = False,
 ) -> DataFrame:
@@ -54,7 +54,7 @@ def txn_fact(
     A transaction stays if its receipt is of the day or undated, or if it has none at all; one
     whose receipts are all of other days is dropped. The member is looked up by the receipt's
     loyalty id; rows without one are spread over the tasks. A member with several dimension rows
-    gives several fact rows.
+    gives several fact rows, which are alike, so the key is a fresh one.
 
     Receipts staged by date are read twice, the day's in full and the key of all. ``one_pass``
     is for receipts that a query computes, where the second reading would compute them again: it
@@ -75,7 +75,7 @@ def txn_fact(
         matched, rest = left_join_dated(
             day, receipt, "txn_id", "receipt_txn_id", load_date, "receipt_date"
         )
-    rows = left_join(
+    rows = left_join_keys(
         matched,
         members.select("member_id"),
         "loyalty_id",
@@ -113,4 +113,4 @@ def txn_fact(
             LOAD_DATE: LOAD_DATE,
         },
     )
-    return add_key(fact, "txn_key", key)
+    return add_key(fact, "txn_key")

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from stagewright import LOAD_DATE
 from stagewright.operators import (
     drop_columns,
-    duplicate_keys,
     flatten_struct,
     stamp_load_date,
 )
@@ -135,6 +134,7 @@ def ingest(
     staged rows of each. Another ``date_column`` than the library's own suits loads given as SQL
     text. A source that fails does not stop the others; ``LoadError`` names it at the end.
     """
+    _differ("sources", [spec["name"] for spec in sources])
     if load_date is None:
         load_date = spark.sql("select current_date()").first()[0]
 
@@ -153,6 +153,13 @@ def ingest(
         return _all_done([job.result() for job in jobs])
 
 
+def _differ(what: str, names: Sequence[str]) -> None:
+    """Two of one name would silently replace one another."""
+    twice = sorted({name for name in names if names.count(name) > 1})
+    if twice:
+        raise ValueError(f"{what} share a name: {', '.join(twice)}")
+
+
 def as_list(names: str | Sequence[str] | None) -> list[str]:
     """One name or several."""
     if names is None:
@@ -183,15 +190,30 @@ def sql_load(
     """A loading query given as SQL text over named views.
 
     The text may use ``:load_date``. ``ansi=False`` analyses it with the older null-on-error
-    rules for casts, sizes and comparisons; the session's own setting is put back.
+    rules for casts, sizes and comparisons; the session's own setting is put back. The views are
+    there for this query only, and views of the caller with the same names come back.
     """
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
     args = {} if load_date is None else {"load_date": load_date}
-    with _ansi(spark, ansi):
+    with _ansi(spark, ansi), _views(spark, views):
         return spark.sql(query, args=args)
 
 
+@contextmanager
+def _views(spark: SparkSession, views: Mapping[str, DataFrame]) -> Iterator[None]:
+    """Temp views that last for the analysis of a query; its plan keeps what they stand for."""
+    own = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
+    before = {name: spark.table(name) for name in views if name.lower() in own}
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        yield
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
+
+
 def _read_target(spark: SparkSession, spec: Spec, warehouse: Warehouse) -> DataFrame:
     split, partitions = spec.get("split_column"), spec.get("partitions", 2)
     return read_table(spark, spec["table"], warehouse, split, partitions)
@@ -215,19 +237,18 @@ def _load_one(
     for name in as_list(spec.get("targets")):
         views[name] = _read_target(spark, earlier[name], warehouse)
     for name, table in spec.get("tables", {}).items():
-        views[name] = read_table(spark, table, warehouse)
+        table = {"table": table} if isinstance(table, str) else table
+        views[name] = _read_target(spark, table, warehouse)
     if "query" in spec:
         rows = sql_load(spark, spec["query"], views, load_date, spec.get("ansi"))
     else:
         rows = spec["build"](views, load_date)
     rows = rows.withColumnsRenamed(dict(spec.get("rename", {})))
-    written = write_table(rows, spec["table"], warehouse, spec.get("num_files"))
-    if "unique" in spec or show_rows:
-        stored = _read_target(spark, spec, warehouse)
-        if "unique" in spec and not duplicate_keys(stored, spec["unique"]).isEmpty():
-            raise RuntimeError(f"rows of {spec['table']} share a {spec['unique']}")
-        if show_rows:
-            _show(stored, show_rows)
+    written = write_table(
+        rows, spec["table"], warehouse, spec.get("num_files"), spec.get("unique")
+    )
+    if show_rows:
+        _show(_read_target(spark, spec, warehouse), show_rows)
     return written
 
 
@@ -246,10 +267,12 @@ def load(
     or a list each), earlier ``targets`` and other warehouse ``tables`` ({view: table}), and is
     built by ``build(views, load_date)`` or by the SQL text in ``query``. A target in a JDBC
     warehouse that others read should name its ``split_column`` and ``partitions``, or it is read
-    back by one task. A key named in ``unique`` is checked in the stored table. ``show_rows`` prints
+    back by one task; an entry of ``tables`` may be a mapping with ``table`` and the same two. A key
+    named in ``unique`` is checked before the old table is replaced. ``show_rows`` prints
     so many rows of each table. When a target fails, those that read it are left alone and the
     others still run; ``LoadError`` names them at the end.
     """
+    _differ("targets", [spec["name"] for spec in targets])
     earlier: dict[str, Spec] = {}
     for spec in targets:
         name = spec["name"]

@@ -29,5 +29,5 @@ def test_benchmark_runs_registered_queries():
 
 
 def test_flagship_counts(spark, sf_dir):
-    assert entry(spark).count() == 22
-    assert queries()["load_txn_fact"](spark, "/root/testdata/sf0.01").count() == 199
+    assert entry(spark).count() == 113
+    assert queries()["load_txn_fact"](spark, "/root/testdata/sf0.01").count() == 1388

@@ -87,6 +87,15 @@ def filter_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.on_date(inputs.members(spark, sf_dir), "load_date", inputs.EXTRACT_DAY)
 
 
+@query("""
+SELECT event_id FROM events
+WHERE CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events) AND event_id % 5 < 4""")
+def filter_text_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the first day by a date that is text, however it is spelled."""
+    first = inputs.table(spark, sf_dir, "events").agg(F.min("ts").cast("date")).first()[0]
+    return ops.on_date(inputs.text_dates(spark, sf_dir), "day_text", first).select("event_id")
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
 WHERE l_shipdate >= DATE '1998-10-03' AND l_shipdate < DATE '1998-10-04'""")

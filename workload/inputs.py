@@ -23,6 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their day as text in several spellings, or as text that is no date."""
+    day, turn = F.col("ts").cast("date"), F.pmod("event_id", F.lit(5))
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(turn == 0, day.cast("string"))
+        .when(turn == 1, F.concat_ws("-", F.year(day), F.month(day), F.day(day)))
+        .when(turn == 2, F.concat(F.lit(" "), day.cast("string")))
+        .when(turn == 3, F.concat(day.cast("string"), F.lit(" 10:00:00")))
+        .otherwise(F.concat(F.lit("on "), day.cast("string")))
+        .alias("day_text"),
+    )
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("txn_id"),
@@ -51,34 +65,36 @@ TRANSACTIONS_SQL = """
   FROM orders"""
 
 
+# What parts words: blanks, and what a delimited file would have to quote. A comma joins them.
+_BETWEEN = r'[\x09-\x0D ,|"\\]+'
+
+
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One receipt per order that has lines: its first and last part, its quantity.
+    """One receipt per line, several per order and of several years.
 
-    The product list is built from two aggregates rather than by collecting the lines, so an
-    order with very many lines is merged before the shuffle like any other.
+    Its products are the words of a whole text that goes with the supplier; most have none.
     """
-    first, last = F.min("l_partkey"), F.max("l_partkey")
+    words = table(spark, sf_dir, "benchmark").select(
+        "item_id", F.regexp_replace("text", _BETWEEN, ",").alias("products")
+    )
     return (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("txn_id"))
-        .agg(
-            F.min("l_suppkey").alias("loyalty_id"),
-            F.when(first == last, first.cast("string"))
-            .otherwise(F.concat_ws(",", first, last))
-            .alias("products"),
-            F.sum("l_quantity").alias("base_points"),
-            F.trunc(F.min("l_shipdate").cast("date"), "year").alias("load_date"),
+        .join(words, F.col("l_suppkey") == F.col("item_id"), "left")
+        .select(
+            F.col("l_orderkey").alias("txn_id"),
+            F.col("l_suppkey").alias("loyalty_id"),
+            "products",
+            F.col("l_quantity").alias("base_points"),
+            F.trunc(F.col("l_shipdate").cast("date"), "year").alias("load_date"),
         )
     )
 
 
-RECEIPTS_SQL = """
-  SELECT l_orderkey AS txn_id, min(l_suppkey) AS loyalty_id,
-         CASE WHEN min(l_partkey) = max(l_partkey) THEN CAST(min(l_partkey) AS VARCHAR)
-              ELSE concat_ws(',', min(l_partkey), max(l_partkey)) END AS products,
-         sum(l_quantity) AS base_points,
-         CAST(date_trunc('year', min(l_shipdate)) AS DATE) AS load_date
-  FROM lineitem GROUP BY l_orderkey"""
+RECEIPTS_SQL = f"""
+  SELECT l_orderkey AS txn_id, l_suppkey AS loyalty_id,
+         regexp_replace(text, '{_BETWEEN}', ',', 'g') AS products, l_quantity AS base_points,
+         CAST(date_trunc('year', l_shipdate) AS DATE) AS load_date
+  FROM lineitem LEFT JOIN benchmark ON l_suppkey = item_id"""
 
 
 def members(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +119,9 @@ def load_by_sql_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.sql_load(spark, text, views, inputs.CHILD_DAY)
 
 
+FIRST_DAY = inputs.EXTRACT_DAY - dt.timedelta(days=1)
+
+
 def _drop_sources(spark: SparkSession, sf_dir: str) -> list[dict]:
     """Write the inputs as the files a source system would leave, and describe them."""
     root = scratch_path(spark, "drops")
@@ -129,7 +133,10 @@ def _drop_sources(spark: SparkSession, sf_dir: str) -> list[dict]:
     members.write.csv(f"{root}/members", sep="|", header=True)
     children.write.csv(f"{root}/children", sep="|", header=True)
     transactions.write.json(f"{root}/transactions")
-    receipts.write.csv(f"{root}/receipts_GBR_25_07_2021.csv", sep="|")
+    # Two daily drops; small receipts came a day before the others.
+    later = F.col("base_points") >= 10
+    for day, part in (("24", ~later), ("25", later)):
+        receipts.where(part).write.csv(f"{root}/receipts_GBR_{day}_07_2021.csv", sep="|")
     inputs.addresses(spark, sf_dir).write.json(f"{root}/addresses")
     conversations = inputs.table(spark, sf_dir, "conversations")
     conversations.write.json(f"{root}/conversations")
@@ -168,47 +175,125 @@ def _drop_sources(spark: SparkSession, sf_dir: str) -> list[dict]:
     ]
 
 
-def _row_counts(tables: dict[str, DataFrame], *columns: str) -> DataFrame:
-    counts = [
-        df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("name"), *columns, "n_rows"
+def _ingest_two_days(spark: SparkSession, sf_dir: str, staging: str) -> list[dict]:
+    """The receipts of the first day, then every source of the second."""
+    sources = _drop_sources(spark, sf_dir)
+    receipts = [spec for spec in sources if spec["name"] == "receipts"]
+    plans.ingest(spark, receipts, staging, FIRST_DAY, overwrite="dynamic")
+    return plans.ingest(
+        spark, sources, staging, inputs.EXTRACT_DAY, overwrite="dynamic", parallel=3
+    )
+
+
+# Columns that are checked, and how a table of the same contents is had from the test tables.
+# Amounts are compared with two decimals, as engines write doubles differently.
+_AMOUNTS = {"retail_value", "base_points"}
+_STAGED = {
+    "transactions": (
+        ["txn_id", "points_value", "retail_value", "external_reference", "activity_ts"]
+        + ["mobile_uid", "mobile_os", "receipt_status", "msg_code"],
+        f"SELECT * EXCLUDE load_date, DATE '2021-07-25' AS load_date FROM ({inputs.TRANSACTIONS_SQL})",
+    ),
+    "receipts": (
+        ["txn_id", "loyalty_id", "products", "base_points"],
+        f"""SELECT * EXCLUDE load_date, CASE WHEN base_points >= 10 THEN DATE '2021-07-25'
+            ELSE DATE '2021-07-24' END AS load_date FROM ({inputs.RECEIPTS_SQL})""",
+    ),
+    "conversations": (
+        ["conv_id", "turn", "role", "text"],
+        "SELECT *, DATE '2021-07-25' AS load_date FROM conversations",
+    ),
+    "addresses": (
+        ["consumer_id", "street", "city", "state"],
+        f"SELECT *, DATE '2021-07-25' AS load_date FROM ({inputs.ADDRESSES_SQL})",
+    ),
+    "members": (
+        ["member_id", "country_code", "registration_id", "registration_date", "loyalty_id"]
+        + ["channel", "gender", "member_city"],
+        f"SELECT * EXCLUDE load_date, DATE '2021-07-25' AS load_date FROM ({inputs.MEMBERS_SQL})",
+    ),
+    "children": (
+        ["member_id", "country_code", "child_id", "child_number", "child_gender"],
+        f"SELECT * EXCLUDE load_date, DATE '2021-07-25' AS load_date FROM ({inputs.CHILDREN_SQL})",
+    ),
+}
+_LOADED = {
+    "member_dim": (
+        ["member_id", "country_code", "registration_id", "city"],
+        f"""SELECT m.* EXCLUDE load_date, a.city, DATE '2021-07-25' AS load_date
+            FROM (SELECT DISTINCT * EXCLUDE load_date, NULL AS load_date FROM ({_TYPED_MEMBERS_SQL})) m
+            JOIN ({inputs.ADDRESSES_SQL}) a ON CAST(m.member_id AS BIGINT) = a.consumer_id""",
+    ),
+    "child_dim": (
+        ["member_id", "country_code", "child_id", "child_number", "child_gender"],
+        f"""SELECT DISTINCT * EXCLUDE load_date, DATE '2021-07-25' AS load_date
+            FROM ({inputs.CHILDREN_SQL}) WHERE child_id IS NOT NULL""",
+    ),
+}
+_LOADED_FACT = f"""
+  SELECT t.txn_id, CAST(len(string_split(r.products, ',')) AS INTEGER) AS item_qty,
+         c.c_custkey AS member_id, DATE '2021-07-25' AS load_date
+  FROM orders o JOIN ({inputs.TRANSACTIONS_SQL}) t ON o.o_orderkey = t.txn_id
+  LEFT JOIN ({_STAGED["receipts"][1]}) r ON t.txn_id = r.txn_id
+  LEFT JOIN customer c ON r.loyalty_id = c.c_custkey
+  WHERE r.load_date = DATE '2021-07-25' OR r.load_date IS NULL"""
+for _name in ("txn_fact", "txn_fact_by_text"):
+    _LOADED[_name] = (["txn_id", "item_qty", "member_id"], _LOADED_FACT)
+
+
+def _contents_sql(tables: dict[str, tuple[list[str], str]]) -> str:
+    parts = []
+    for name, (columns, rows) in tables.items():
+        for column in columns:
+            value = f"CAST({column} AS DECIMAL(18, 2))" if column in _AMOUNTS else column
+            digest = f"substr(md5(coalesce(CAST({value} AS VARCHAR), '~')), 1, 8)"
+            parts.append(f"""
+  SELECT '{name}' AS name, load_date, '{column}' AS column_name, count(*) AS n_rows,
+         CAST(sum(CAST('0x' || {digest} AS BIGINT)) AS BIGINT) AS digest
+  FROM ({rows}) GROUP BY load_date""")
+    return " UNION ALL ".join(parts)
+
+
+def _contents(tables: dict[str, DataFrame], columns: dict[str, tuple[list[str], str]]) -> DataFrame:
+    """Per table, date and column: the rows, and a sum over hashes of the column's values."""
+    parts = []
+    for name, df in tables.items():
+        sums = []
+        for column in columns[name][0]:
+            value = F.col(column)
+            if column in _AMOUNTS:
+                value = value.cast("double").cast("decimal(18,2)")
+            text = F.coalesce(value.cast("string"), F.lit("~")).cast("binary")
+            number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+            sums.append(
+                F.struct(F.lit(column).alias("column_name"), F.sum(number).alias("digest"))
+            )
+        per_date = df.groupBy("load_date").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.array(*sums).alias("sums")
         )
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+        parts.append(
+            per_date.select(
+                F.lit(name).alias("name"), "load_date", "n_rows", F.inline("sums")
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
-@query("""
-SELECT name, DATE '2021-07-25' AS load_date, n_rows FROM (
-  SELECT 'transactions' AS name, count(*) AS n_rows FROM orders
-  UNION ALL SELECT 'receipts', count(DISTINCT l_orderkey) FROM lineitem
-  UNION ALL SELECT 'conversations', count(*) FROM conversations
-  UNION ALL SELECT 'addresses', count(*) FROM customer
-  UNION ALL SELECT 'members', 2 * count(*) FROM customer
-  UNION ALL SELECT 'children', count(*) FROM lineitem)""")
+@query(_contents_sql(_STAGED))
 def ingest_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stage one: every source read, stamped and staged; the rows staged per source and date."""
+    """Stage one: every source read, stamped and staged; the contents per source and date."""
     staging = scratch_path(spark, "staging")
-    results = plans.ingest(
-        spark, _drop_sources(spark, sf_dir), staging, inputs.EXTRACT_DAY, parallel=3
-    )
-    return _row_counts(
-        {r["name"]: read_staged(spark, staging, r["name"]) for r in results}, "load_date"
-    )
+    results = _ingest_two_days(spark, sf_dir, staging)
+    staged = {r["name"]: read_staged(spark, staging, r["name"]) for r in results}
+    return _contents(staged, _STAGED)
 
 
-@query("""
-SELECT 'member_dim' AS name, count(*) AS n_rows FROM customer
-UNION ALL SELECT 'child_dim', count(*) FROM (
-  SELECT DISTINCT l_orderkey, l_suppkey, l_linenumber, l_linestatus
-  FROM lineitem WHERE l_returnflag <> 'R')
-UNION ALL SELECT 'txn_fact', count(*) FROM orders
-UNION ALL SELECT 'txn_fact_by_text', count(*) FROM orders""")
+@query(_contents_sql(_LOADED))
 def load_all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both stages: the staged sources loaded into Spark tables; the rows of each table."""
+    """Both stages: the staged sources loaded into Spark tables; the contents of each table."""
     staging = scratch_path(spark, "staging")
     tables = scratch_path(spark, "tables")
-    plans.ingest(spark, _drop_sources(spark, sf_dir), staging, inputs.EXTRACT_DAY, parallel=3)
+    _ingest_two_days(spark, sf_dir, staging)
     suffix = tables.rsplit("-", 1)[1]
     targets = [
         {
@@ -236,7 +321,8 @@ def load_all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             "name": "txn_fact_by_text",
             "table": f"txn_fact_by_text_{suffix}",
-            "sources": ["transactions", "receipts"],
+            "day_sources": "transactions",
+            "sources": "receipts",
             "targets": ["member_dim"],
             "query": """
               SELECT t.txn_id, size(split(r.products, ',')) AS item_qty, m.member_id, t.load_date
@@ -249,4 +335,5 @@ def load_all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     warehouse = {"kind": "spark", "path": tables}
     plans.load(spark, targets, staging, warehouse, inputs.EXTRACT_DAY)
-    return _row_counts({spec["name"]: spark.table(spec["table"]) for spec in targets})
+    loaded = {spec["name"]: spark.table(spec["table"]) for spec in targets}
+    return _contents(loaded, _LOADED)

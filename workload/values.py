@@ -24,7 +24,11 @@ SELECT p_partkey,
        TRY_CAST(trunc(p_retailprice) AS INTEGER) AS whole_price,
        CAST(NULL AS INTEGER) AS strict_price,
        CAST(p_size AS VARCHAR) AS size_text,
-       TRY_CAST(concat(p_partkey, p_size) AS BIGINT) AS long_key
+       TRY_CAST(concat(p_partkey, p_size) AS BIGINT) AS long_key,
+       TRY_CAST(trunc(p_retailprice) AS INTEGER) AS from_double,
+       TRY_CAST(trunc(CAST(p_retailprice AS DECIMAL(12, 2))) AS BIGINT) AS from_decimal,
+       TRY_CAST(p_size > 25 AS INTEGER) AS from_boolean,
+       TRY_CAST(p_partkey * 40 AS SMALLINT) AS from_bigint
 FROM part""")
 def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text to smallint, integer and bigint; text that does not fit becomes NULL."""
@@ -39,6 +43,10 @@ def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
         cast(price, "int").alias("strict_price"),
         cast("p_size", "string").alias("size_text"),
         cast(F.concat("p_partkey", "p_size"), "bigint").alias("long_key"),
+        cast("p_retailprice", "int").alias("from_double"),
+        cast(F.col("p_retailprice").cast("decimal(12,2)"), "bigint").alias("from_decimal"),
+        cast(F.col("p_size") > 25, "int").alias("from_boolean"),
+        cast(F.col("p_partkey") * 40, "smallint").alias("from_bigint"),
     )
 
 
@@ -52,13 +60,12 @@ def time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_time_parts(events, "ts", "at_").drop("ts")
 
 
-@query(f"""
-SELECT txn_id, CAST(len(string_split(products, ',')) AS INTEGER) AS item_qty
-FROM ({inputs.RECEIPTS_SQL})""")
+@query("""
+SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS item_qty FROM documents""")
 def item_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items in each receipt's product list."""
-    return inputs.receipts(spark, sf_dir).select(
-        "txn_id", count_items("products").alias("item_qty")
+    """Items of each text, parted by blanks."""
+    return inputs.table(spark, sf_dir, "documents").select(
+        "doc_id", count_items("text", " ").alias("item_qty")
     )
 
 
@@ -145,10 +152,10 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT count(*) AS n_rows, count(*) AS n_keys FROM customer JOIN nation ON c_nationkey = n_nationkey
-JOIN region ON n_regionkey = r_regionkey""")
+SELECT count(*) AS n_rows, count(DISTINCT c_custkey) AS n_keys
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def surrogate_key_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stable keys of the member dimension: as many as rows."""
+    """Stable keys of the member dimension: one for each member."""
     dim = member_dim(
         inputs.members(spark, sf_dir), inputs.flat_addresses(spark, sf_dir), key="stable"
     )

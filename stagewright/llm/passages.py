@@ -30,8 +30,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from stagewright.llm.common import fresh, slices, small_batches, written
 
@@ -282,13 +283,27 @@ def _merge(length: int):
     return each
 
 
-def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Documents with ``id`` and ``row``, which name a row: rows alike in id and text share them."""
-    return docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")).alias("id"),
-        F.xxhash64(F.col(doc_id), F.col(text)).alias("row"),
-        F.col(text).alias("text"),
-    )
+def _number(docs: DataFrame, doc_id: str) -> Column:
+    """The id as a long; ids of other types go by their hash. The row's hash tells null from 0."""
+    if isinstance(docs.schema[doc_id].dataType, IntegralType):
+        return F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(0).cast("long"))
+    return F.xxhash64(F.col(f"`{doc_id}`"))
+
+
+def _with_row(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, str]:
+    """The documents with a hash of id and text; rows alike in both share it."""
+    (row,) = fresh(docs, "row")
+    return docs.withColumn(row, F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))), row
+
+
+def _by_row(base: DataFrame, row: str, doc_id: str, other: DataFrame, how: str) -> DataFrame:
+    """Documents joined with something per ``id`` and ``row``.
+
+    Both joins of the documents are made here in one form, so that Spark can shuffle the texts once.
+    """
+    other = other.withColumnsRenamed({"id": "__id", "row": "__row"})
+    same_row = (_number(base, doc_id) == F.col("__id")) & (F.col(row) == F.col("__row"))
+    return base.join(other, same_row, how)
 
 
 def _occurrences(keyed: DataFrame, length: int) -> DataFrame:
@@ -323,7 +338,10 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
     if length < 2 * GRAM:
         raise ValueError(f"a window has at least {2 * GRAM} bytes")
     small_batches(docs.sparkSession)
-    keyed = _keyed(docs, doc_id, text)
+    base, row = _with_row(docs, doc_id, text)
+    keyed = base.select(
+        _number(base, doc_id).alias("id"), F.col(row).alias("row"), F.col(f"`{text}`").alias("text")
+    )
     found = written(_occurrences(keyed.filter(F.octet_length("text") >= length), length), "anchors")
     shared = (
         found.groupBy("h")
@@ -365,7 +383,11 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
     )
     wanted = wanted.groupBy("id", "row").agg(F.collect_list("item").alias("wanted"))
     # A row that is there twice gives its runs twice; they occur twice anyway.
-    bodies = keyed.join(wanted, ["id", "row"]).select("id", "row", "text", "wanted").mapInPandas(
+    read = _by_row(base, row, doc_id, wanted, "inner")
+    read = read.select(
+        _number(base, doc_id).alias("id"), F.col(row).alias("row"), F.col(f"`{text}`").alias("text"), "wanted"
+    )
+    bodies = read.mapInPandas(
         _bodies(length),
         "g1 long, g2 long, ranges long, h long, c long, n long, id long, row long, low long, body binary",
     )
@@ -410,9 +432,8 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     added = ["n_bytes", "n_removed", "n_spans", "kept"]
     plain = [c for c in docs.columns if c.lower() not in added]
-    number, row, marks, done = fresh(docs, "id", "row", "spans", "done")
-    keyed = docs.withColumn(number, F.coalesce(F.col(doc_id).cast("long"), F.lit(0).cast("long")))
-    keyed = keyed.withColumn(row, F.xxhash64(F.col(doc_id), F.col(text)))
-    found = found.select(F.col("id").alias(number), F.col("row").alias(row), F.col("spans").alias(marks))
-    out = keyed.join(found, [number, row], "left").withColumn(done, each(F.col(text), F.col(marks)))
+    base, row = _with_row(docs, doc_id, text)
+    marks, done = fresh(base, "spans", "done")
+    found = found.withColumnRenamed("spans", marks)
+    out = _by_row(base, row, doc_id, found, "left").withColumn(done, each(F.col(f"`{text}`"), F.col(marks)))
     return out.select(*[F.col(f"`{c}`") for c in plain], *[F.col(f"{done}.{c}").alias(c) for c in added])

@@ -343,31 +343,32 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
         _number(base, doc_id).alias("id"), F.col(row).alias("row"), F.col(f"`{text}`").alias("text")
     )
     found = written(_occurrences(keyed.filter(F.octet_length("text") >= length), length), "anchors")
-    shared = (
+    # Counts are written before they are joined: a join of two plain shuffles is one that adaptive
+    # execution can split where an anchor or a run is very common.
+    shared = written(
         found.groupBy("h")
         .agg(F.count(F.lit(1)).alias("times"), (F.min("c") != F.max("c")).alias("differ"))
         .filter("times > 1")
-        .select("h", "differ")
+        .select("h", "differ"),
+        "anchor-counts",
     )
     marked = written(found.join(shared, "h"), "shared-anchors")
     differ = marked.filter("differ")
-    kinds = differ.groupBy("h", "c").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "row", "low", "high")).alias("one")
-    )
+    one = F.min(F.struct("id", "row", "low", "high"))
+    kinds = differ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), one.alias("one"))
+    kinds = written(kinds.select("h", "c", "n", "one.*"), "differing-runs")
     whole = marked.filter(~F.col("differ")).select("id", "row", "low", "high").union(
         differ.join(kinds.filter("n > 1").select("h", "c"), ["h", "c"]).select("id", "row", "low", "high")
     )
     whole = whole.select("id", "row", F.col("low").alias("first"), (F.col("high") + length).alias("last"))
     per_anchor = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("runs"))
-    kinds = written(
-        kinds.join(per_anchor, "h").select("h", "c", "n", "runs", "one.*"), "differing-runs"
-    )
+    crowded = written(per_anchor.filter(F.col("runs") > SHARD_RUNS), "hot-anchors")
     size = kinds.agg(F.sum(F.col("high") - F.col("low") + length)).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     # An anchor with too many runs for a shard gets several of its own.
     cut = F.ceil(F.col("runs") / F.lit(SHARD_RUNS))
-    hot = F.col("runs") > SHARD_RUNS
-    wanted = kinds.select(
+    hot = F.col("runs").isNotNull()
+    wanted = kinds.join(crowded, "h", "left").select(
         "id",
         "row",
         F.struct(

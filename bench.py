@@ -23,7 +23,11 @@ HEADLINE = [
     "load_child_dim",
     "array_profile",
     "tier_case",
+    "left_join_receipts",
     "left_join_chain",
+    "left_join_of_date",
+    "filter_date_or_null",
+    "surrogate_key",
     "distinct_subquery",
     "safe_cast",
     "time_parts",

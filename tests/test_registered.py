@@ -31,3 +31,19 @@ def test_benchmark_runs_registered_queries():
 def test_flagship_counts(spark, sf_dir):
     assert entry(spark).count() == 113
     assert queries()["load_txn_fact"](spark, "/root/testdata/sf0.01").count() == 1388
+
+
+def _scans(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+@pytest.mark.parametrize("name", ["filter_load_date", "load_member_dim_daily", "distinct_daily"])
+def test_daily_queries_prune_dates(spark, sf_dir, name):
+    assert "PartitionFilters: [isnotnull(load_date" in _scans(queries()[name](spark, sf_dir))
+
+
+def test_the_fact_reads_the_periods_orders_only(spark, sf_dir):
+    plan = _scans(queries()["load_txn_fact"](spark, sf_dir))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01" in plan
+    assert "LessThan(o_orderdate,1999-01-01" in plan

@@ -84,7 +84,7 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT * FROM ({inputs.MEMBERS_SQL}) WHERE load_date = DATE '2021-07-25'")
 def filter_load_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The members of one load date."""
-    return ops.on_date(inputs.members(spark, sf_dir), "load_date", inputs.EXTRACT_DAY)
+    return ops.on_date(inputs.staged_members(spark, sf_dir), "load_date", inputs.EXTRACT_DAY)
 
 
 @query("""

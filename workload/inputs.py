@@ -10,6 +10,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from stagewright.session import scratch_path
+from stagewright.sinks import stage
+from stagewright.sources import read_staged
 
 # The period of the transaction load: receipts rarely fall on the day of their order, so a
 # "load date" is the first day of a year.
@@ -37,8 +40,15 @@ def text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def transactions(
+    spark: SparkSession, sf_dir: str, period: dt.date | None = None
+) -> DataFrame:
+    """All transactions, or those of the year that a period names, by a range the scan can use."""
+    orders = table(spark, sf_dir, "orders")
+    if period is not None:
+        first, after = (F.lit(dt.datetime(period.year + n, 1, 1)).cast("timestamp_ntz") for n in (0, 1))
+        orders = orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < after))
+    return orders.select(
         F.col("o_orderkey").alias("txn_id"),
         F.col("o_custkey").alias("points_value"),
         F.col("o_totalprice").alias("retail_value"),
@@ -119,6 +129,13 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.unionAll(extract)
 
 
+def staged_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The member extract staged by date, so that a day's filter reads one folder."""
+    root = scratch_path(spark, "members")
+    stage(members(spark, sf_dir), root, "members", rebalance=True)
+    return read_staged(spark, root, "members")
+
+
 MEMBERS_SQL = """
   SELECT CAST(c_custkey AS VARCHAR) AS member_id,
          CASE WHEN c_mktsegment = 'MACHINERY' THEN 'unknown'

@@ -100,7 +100,7 @@ SELECT DISTINCT member_id, TRY_CAST(country_code AS SMALLINT), CAST(NULL AS INTE
 FROM ({inputs.MEMBERS_SQL}) WHERE load_date = DATE '2021-07-25' AND registration_id LIKE '%.%'""")
 def distinct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct typed rows of one load date."""
-    today = ops.on_date(inputs.members(spark, sf_dir), "load_date", inputs.EXTRACT_DAY)
+    today = ops.on_date(inputs.staged_members(spark, sf_dir), "load_date", inputs.EXTRACT_DAY)
     typed = today.select(
         "member_id",
         safe_cast("country_code", "smallint").alias("country_code"),

@@ -37,7 +37,7 @@ def load_member_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"SELECT * FROM ({_TYPED_MEMBERS_SQL}) WHERE load_date = DATE '2021-07-25'")
 def load_member_dim_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registration dimension of one load date."""
-    dim = plans.member_dim_daily(inputs.members(spark, sf_dir), inputs.EXTRACT_DAY)
+    dim = plans.member_dim_daily(inputs.staged_members(spark, sf_dir), inputs.EXTRACT_DAY)
     return dim.drop("member_key")
 
 
@@ -80,11 +80,10 @@ def load_txn_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Retail transaction fact of one period: the flagship."""
     members = ops.project(inputs.table(spark, sf_dir, "customer"), {"member_id": "c_custkey"})
     fact = plans.txn_fact(
-        inputs.transactions(spark, sf_dir),
+        inputs.transactions(spark, sf_dir, inputs.LOAD_PERIOD),
         inputs.receipts(spark, sf_dir),
         members,
         inputs.LOAD_PERIOD,
-        one_pass=True,
     )
     return fact.drop("txn_key")
 

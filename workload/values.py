@@ -142,7 +142,7 @@ WHERE t.load_date = DATE '1998-01-01'
 def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fresh keys of the fact: as many as rows. The values differ from run to run."""
     fact = txn_fact(
-        inputs.transactions(spark, sf_dir),
+        inputs.transactions(spark, sf_dir, inputs.LOAD_PERIOD),
         inputs.receipts(spark, sf_dir),
         project(inputs.table(spark, sf_dir, "customer"), {"member_id": "c_custkey"}),
         inputs.LOAD_PERIOD,

@@ -22,7 +22,9 @@ from stagewright.llm.vectors import Best, Tree, asking, matrix, search
 
 TOP, EVERY = 5, 50
 #: Projections (even, for the closed form below), and the chance that a nearer row was seen.
-PROJECTIONS, SURE, SEED = 8, 0.98, 42
+PROJECTIONS, SURE, SEED = 12, 0.98, 42
+#: Points of a leaf: a leaf is one step in numpy, so it is larger than a tree alone would ask for.
+LEAF = 256
 
 
 def chi_square(x: float, freedom: int) -> float:
@@ -55,7 +57,7 @@ def find_in_shard(k: int, projections: int, sure: float, seed: int):
         low = (rows / norms[:, None]) @ directions
         at = (asked / lengths[:, None]) @ directions
         ids = own["id"].to_numpy()
-        tree = Tree(low)
+        tree = Tree(low, LEAF)
         out = []
         for row, (query, kth) in enumerate(asking(wanted)):
             point = at[row]

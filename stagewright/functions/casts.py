@@ -57,13 +57,16 @@ def _whole_from_text(column: Column, to: str, truncate: bool) -> Column:
     return F.when(number.between(-limit, limit - 1), number).try_cast(to)
 
 
-def key_cast(value: str, to: str) -> Column:
+def key_cast(value: str, to: str, truncate: bool = False) -> Column:
     """The cast of a text column that is a join key: as ``safe_cast``, for mostly sound text.
 
-    A pattern over every key costs more there than a few exceptions do, so only what shows at
+    ``truncate=True`` lets "12.0" and "12.7" meet 12, as a non-ANSI comparison does. Without it a
+    pattern over every key costs more there than a few exceptions do, so only what shows at
     once, a first character above the digits or a decimal point, is sorted out beforehand.
     """
     text = F.col(value)
+    if truncate:
+        return safe_cast(text, to, truncate=True)
     if _is_whole(_OTHER_NAMES.get(to, to)):
         # Beside blanks a cast also ignores the one control character above the digits.
         starts_well = (text < ":") | text.startswith("\x7f")

@@ -30,27 +30,30 @@ COPY_BLOCK = 1024
 
 
 def _keyed(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, truncate: bool = False
 ) -> tuple[DataFrame, DataFrame, str, str]:
     """Both sides, and the names of join keys of one type.
 
     A text key meets a typed one by a cast that gives NULL, hence no match, for text that does
-    not fit, instead of failing the job.
+    not fit, instead of failing the job. ``truncate``, here and in the joins below, lets decimal
+    text meet the whole number before its point.
     """
     left_type, right_type = left.schema[left_key].dataType, right.schema[right_key].dataType
     if left_type != right_type:
         if isinstance(left_type, T.StringType):
-            cast = key_cast(left_key, right_type.simpleString())
+            cast = key_cast(left_key, right_type.simpleString(), truncate)
             return left.withColumn(_LEFT, cast), right, _LEFT, right_key
         if isinstance(right_type, T.StringType):
-            cast = key_cast(right_key, left_type.simpleString())
+            cast = key_cast(right_key, left_type.simpleString(), truncate)
             return left, right.withColumn(_RIGHT, cast), left_key, _RIGHT
     return left, right, left_key, right_key
 
 
-def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def inner_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, truncate: bool = False
+) -> DataFrame:
     """Inner join; all columns of both sides, which must not share names."""
-    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key, truncate)
     return lhs.join(rhs, F.col(lk) == F.col(rk), "inner").drop(*_HELPERS)
 
 
@@ -79,6 +82,7 @@ def left_join(
     right_key: str,
     spread_nulls_by: Sequence[str] = (),
     hot_right: bool = False,
+    truncate: bool = False,
 ) -> DataFrame:
     """Left outer join.
 
@@ -92,7 +96,7 @@ def left_join(
     rows without a partner. Both sides may then be evaluated more than once, so neither may hold
     fresh keys.
     """
-    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key, truncate)
     if hot_right:
         matched, rest = _matched_and_rest(lhs, rhs, rhs, lk, rk)
         return matched.unionByName(rest, allowMissingColumns=True)
@@ -113,6 +117,7 @@ def left_join_keys(
     left_key: str,
     right_key: str,
     spread_nulls_by: Sequence[str] = (),
+    truncate: bool = False,
 ) -> DataFrame:
     """Left outer join that needs only the right side's key: a left row once for each equal key.
 
@@ -121,7 +126,9 @@ def left_join_keys(
     in two steps, so no row ever holds an array of more than ``COPY_BLOCK`` or count / ``COPY_BLOCK``.
     """
     counted = right.groupBy(right_key).agg(F.count(F.lit(1)).alias(_TIMES))
-    joined = left_join(left, counted, left_key, right_key, spread_nulls_by)
+    joined = left_join(
+        left, counted, left_key, right_key, spread_nulls_by, truncate=truncate
+    )
     times = F.coalesce(F.col(_TIMES), F.lit(1).cast("bigint"))
     one = F.lit(1).cast("bigint")
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((times - 1) / COPY_BLOCK))
@@ -141,6 +148,7 @@ def left_join_dated(
     right_key: str,
     date: dt.date,
     date_column: str = LOAD_DATE,
+    truncate: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Left outer join, then keep rows whose partner is of the date, has no date, or is absent.
 
@@ -149,19 +157,21 @@ def left_join_dated(
     others the key alone is read. The matched part is an inner join, so a hot key can be split on
     either side. Both sides may be evaluated more than once, so neither may hold fresh keys.
     """
-    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key)
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key, truncate)
     partners = on_date_or_missing(rhs, date_column, date).drop(date_column)
     return _matched_and_rest(lhs, partners, rhs, lk, rk)
 
 
-def distinct_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def distinct_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, truncate: bool = False
+) -> DataFrame:
     """Distinct rows of the inner join, without the right key.
 
     Both sides are made distinct before they meet, which gives the same rows as a distinct above
     the join (the left key is among the output) and never multiplies copies by copies. With no
     aggregate above it, adaptive execution may split a hot member on either side.
     """
-    lhs, rhs, lk, rk = _keyed(left.distinct(), right, left_key, right_key)
+    lhs, rhs, lk, rk = _keyed(left.distinct(), right, left_key, right_key, truncate)
     others = [F.col(name) for name in right.columns if name != right_key]
     rhs = rhs.select(F.col(rk).alias(_RIGHT), *others).distinct()
     return lhs.join(rhs, F.col(lk) == F.col(_RIGHT), "inner").drop(*_HELPERS)

@@ -46,7 +46,8 @@ def member_dim(
     A stable key depends on ``key_columns`` only, so rows of one member on several days share it.
     """
     address = addresses.select("consumer_id", "street", "city", "state")
-    rows = distinct_join(_registration(members, truncate), address, "member_id", "consumer_id")
+    registration = _registration(members, truncate)
+    rows = distinct_join(registration, address, "member_id", "consumer_id", truncate)
     order = [name for name in rows.columns if name != LOAD_DATE]
     return add_key(rows.select(*order, LOAD_DATE), "member_key", key, key_columns)
 

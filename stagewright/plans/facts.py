@@ -69,11 +69,11 @@ def txn_fact(
         F.col(LOAD_DATE).alias("receipt_date"),
     )
     if one_pass:
-        joined = left_join(day, receipt, "txn_id", "receipt_txn_id")
+        joined = left_join(day, receipt, "txn_id", "receipt_txn_id", truncate=truncate)
         matched, rest = on_date_or_missing(joined, "receipt_date", load_date), None
     else:
         matched, rest = left_join_dated(
-            day, receipt, "txn_id", "receipt_txn_id", load_date, "receipt_date"
+            day, receipt, "txn_id", "receipt_txn_id", load_date, "receipt_date", truncate
         )
     rows = left_join_keys(
         matched,
@@ -81,6 +81,7 @@ def txn_fact(
         "loyalty_id",
         "member_id",
         spread_nulls_by=["txn_id", "products", "base_points"],
+        truncate=truncate,
     )
     if rest is not None:
         rows = rows.unionByName(rest, allowMissingColumns=True)

@@ -194,3 +194,12 @@ def test_history_of_receipts_is_filtered_at_its_scan(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_decimal_key_text_meets_whole_numbers_on_request(spark):
+    left = spark.createDataFrame([(12,), (13,)], "k bigint")
+    right = spark.createDataFrame([("12.0",), ("13",), ("x",)], "t string")
+    assert ops.inner_join(left, right, "k", "t").count() == 1
+    assert ops.inner_join(left, right, "k", "t", truncate=True).count() == 2
+    keys = ops.left_join_keys(left, right, "k", "t", truncate=True)
+    assert keys.where("t is not null").count() == 2

@@ -166,7 +166,11 @@ def plan(
     )
     nearest = F.array_min(
         F.array(*[
-            F.struct(F.abs(F.col(f"taken_{j}") - F.col("aim")).alias("off"), F.lit(j).alias("number"), _offset(j, seed).alias("offset"))
+            F.struct(
+                F.abs(F.col(f"taken_{j}") - F.col("aim")).alias("off"),
+                F.lit(j).alias("number"),
+                _offset(j, seed).alias("offset"),
+            )
             for j in range(offsets)
         ])
     )

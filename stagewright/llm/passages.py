@@ -150,7 +150,15 @@ def suffix_order(words: np.ndarray, ends: np.ndarray, run: np.ndarray) -> tuple[
         h *= 2
 
 
-def common_prefixes(words: np.ndarray, order: np.ndarray, rank: np.ndarray, starts: np.ndarray, sizes: np.ndarray, steps: np.ndarray, most: int) -> np.ndarray:
+def common_prefixes(
+    words: np.ndarray,
+    order: np.ndarray,
+    rank: np.ndarray,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    steps: np.ndarray,
+    most: int,
+) -> np.ndarray:
     """Common bytes, up to ``most``, of each suffix and the one before it in order, by its rank.
 
     Kasai's walk: the next suffix of a run has at most one byte less in common with its neighbour.
@@ -210,7 +218,8 @@ def _spans(flags: np.ndarray, low: int, length: int) -> list[tuple[int, int]]:
     return [(low + a, low + b - 1 + length) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
 
 
-_FOUND = "m1 long, m2 long, id long, row long, first long, last long, keys binary, ids binary, rows binary, places binary"
+_SPAN = "id long, row long, first long, last long"
+_FOUND = f"m1 long, m2 long, {_SPAN}, keys binary, ids binary, rows binary, places binary"
 
 
 def _compare(length: int):
@@ -224,7 +233,8 @@ def _compare(length: int):
         out = []
         for i, flag in enumerate(flags):
             if alone[i] == 1:
-                out += [(int(rows[i]) & 1023, -1, ids[i], rows[i], a, b, b"", b"", b"", b"") for a, b in _spans(flag, int(lows[i]), length)]
+                of_run = _spans(flag, int(lows[i]), length)
+                out += [(int(rows[i]) & 1023, -1, ids[i], rows[i], a, b, *[b""] * 4) for a, b in of_run]
         ranges = int(group["ranges"].iloc[0])
         if ranges:
             out += _digests(int(group["h"].iloc[0]), bodies, flags, ids, rows, lows, alone, ranges, length)
@@ -255,8 +265,9 @@ def _digests(h: int, bodies, flags, ids, rows, lows, alone, ranges: int, length:
     keys, owner, places = keys[once], owner[once], places[once]
     bounds = np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << 64) // ranges)
     cuts = [0, *np.searchsorted(keys, bounds).tolist(), len(keys)]
+    packed = [keys, *(x.astype(np.int64) for x in (ids[owner], rows[owner], places))]
     return [
-        (h, r, 0, 0, 0, 0, keys[a:b].tobytes(), ids[owner[a:b]].astype(np.int64).tobytes(), rows[owner[a:b]].astype(np.int64).tobytes(), places[a:b].astype(np.int64).tobytes())
+        (h, r, 0, 0, 0, 0, *(x[a:b].tobytes() for x in packed))
         for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
         if b > a
     ]
@@ -276,9 +287,10 @@ def _merge(length: int):
             place = np.frombuffer(places, np.int64)
             several = np.searchsorted(merged, part, "right") - np.searchsorted(merged, part, "left") > 1
             hit = several & (place >= 0)
-            place = place[hit]
-            out.append(pd.DataFrame({"id": np.frombuffer(ids, np.int64)[hit], "row": np.frombuffer(rows, np.int64)[hit], "first": place, "last": place + length}))
-        return pd.concat(out)[columns]
+            own = [np.frombuffer(x, np.int64)[hit] for x in (ids, rows, places, places)]
+            out.append(pd.DataFrame(dict(zip(columns, own, strict=True))))
+        found = pd.concat(out)
+        return found.assign(last=found["last"] + length)
 
     return each
 
@@ -393,7 +405,7 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
         "g1 long, g2 long, ranges long, h long, c long, n long, id long, row long, low long, body binary",
     )
     compared = bodies.groupBy("g1", "g2").applyInPandas(_compare(length), _FOUND)
-    ends = compared.groupBy("m1", "m2").applyInPandas(_merge(length), "id long, row long, first long, last long")
+    ends = compared.groupBy("m1", "m2").applyInPandas(_merge(length), _SPAN)
     return (
         whole.union(ends)
         .groupBy("id", "row")

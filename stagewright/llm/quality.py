@@ -49,7 +49,8 @@ def _run_shape(match: re.Match) -> str:
     letters, digits, other = match.groups()
     if letters:
         first, rest = letters[0], letters[1:]
-        return ("A" if first.isupper() else "a") + ("" if not rest else "A" if rest.isupper() else "a" if rest.islower() else "x")
+        after = "A" if rest.isupper() else "a" if rest.islower() else "x"
+        return ("A" if first.isupper() else "a") + (after if rest else "")
     return "0" if digits else other
 
 
@@ -157,7 +158,12 @@ def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
             hidden = np.tanh(x[rows] @ layers[0] + layers[1])
             error = (sigmoid(hidden @ layers[2] + layers[3]) - y[rows]) / len(rows)
             inner = error[:, None] * layers[2] * (1 - hidden * hidden)
-            slopes = [x[rows].T @ inner + DECAY * layers[0], inner.sum(axis=0), hidden.T @ error + DECAY * layers[2], error.sum(keepdims=True)]
+            slopes = [
+                x[rows].T @ inner + DECAY * layers[0],
+                inner.sum(axis=0),
+                hidden.T @ error + DECAY * layers[2],
+                error.sum(keepdims=True),
+            ]
             step += 1
             for p, g, a, b in zip(layers, slopes, first, second, strict=True):
                 a += 0.1 * (g - a)

@@ -78,7 +78,10 @@ def _matches(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     found = F.array(*[
         F.struct(
             F.lit(rule.kind).alias("kind"),
-            F.when(F.array_contains("todo", rule.kind), F.regexp_extract_all("content", F.lit(_wide(rule)), F.lit(0))).alias("hits"),
+            F.when(
+                F.array_contains("todo", rule.kind),
+                F.regexp_extract_all("content", F.lit(_wide(rule)), F.lit(0)),
+            ).alias("hits"),
         )
         for rule in rules
     ])
@@ -102,7 +105,14 @@ def _matches(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
                 keep.alias("keep"),
             )
         ).alias("at", "m"),
-    ).select("blob", "kind", "at", F.col("m.gap").cast("long").alias("gap"), F.col("m.hit").cast("long").alias("hit"), F.col("m.keep").alias("keep"))
+    ).select(
+        "blob",
+        "kind",
+        "at",
+        F.col("m.gap").cast("long").alias("gap"),
+        F.col("m.hit").cast("long").alias("hit"),
+        F.col("m.keep").alias("keep"),
+    )
     ends = F.sum(F.col("gap") + F.col("hit")).over(Window.partitionBy("blob", "kind").orderBy("at"))
     return (
         lengths.withColumn("end", ends)

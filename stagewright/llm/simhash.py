@@ -109,7 +109,10 @@ def links(values: DataFrame, radius: int = RADIUS) -> DataFrame:
         F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("mask")) for t, m in enumerate(masks(radius))
     ])
     spread = values.select("fp", F.explode(tables).alias("m")).select(
-        "fp", F.col("m.t").alias("t"), F.col("m.mask").alias("mask"), F.col("fp").bitwiseAND(F.col("m.mask")).alias("key")
+        "fp",
+        F.col("m.t").alias("t"),
+        F.col("m.mask").alias("mask"),
+        F.col("fp").bitwiseAND(F.col("m.mask")).alias("key"),
     )
     sizes = spread.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     member = spread.join(sizes, ["t", "key"])
@@ -118,22 +121,21 @@ def links(values: DataFrame, radius: int = RADIUS) -> DataFrame:
     right = few.select("t", "key", F.col("fp").alias("v"))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius
     pairs = left.join(right, ["t", "key"]).filter((F.col("u") > F.col("v")) & near).select("u", "v")
-    flips = F.array(F.lit(0).cast("long"), *[F.lit((1 << i) - (1 << 64) if i == 63 else 1 << i).cast("long") for i in range(BITS)])
+    signed = [0, *(1 << i for i in range(BITS - 1)), -(1 << (BITS - 1))]
+    flips = F.array(*[F.lit(x).cast("long") for x in signed])
+    listed = (
+        many.select("fp", "t", "mask", F.explode(flips).alias("flip"))
+        .filter(F.col("flip").bitwiseAND(F.col("mask")) == 0)
+        .select("fp", "t", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
+    )
     if radius == 1:
         # At distance 1 the two values list each other.
-        near_many = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 1
-    else:
-        near_many = near
-    listed = many.select("fp", "t", "mask", F.explode(flips).alias("flip")).filter(
-        F.col("flip").bitwiseAND(F.col("mask")) == 0
-    ).select("fp", "t", F.col("fp").bitwiseXOR(F.col("flip")).alias("middle"))
-    if radius == 1:
         own = many.select("t", F.col("fp").alias("middle")).distinct()
         stars = listed.join(own, ["t", "middle"]).select(F.col("fp").alias("u"), F.col("middle").alias("v"))
     else:
         least = listed.groupBy("t", "middle").agg(F.min("fp").alias("v"))
         stars = listed.join(least, ["t", "middle"]).select(F.col("fp").alias("u"), "v")
-    return pairs.union(stars.filter(F.col("u") != F.col("v")).filter(near_many)).distinct()
+    return pairs.union(stars.filter((F.col("u") != F.col("v")) & near)).distinct()
 
 
 def clusters(

@@ -57,8 +57,9 @@ def gram_sums(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     n = int(sizes.sum())
     keys = flat[:n] | flat[1 : n + 1] << 8 | flat[2 : n + 2] << 16
     keys = np.stack((keys, keys | flat[3 : n + 3] << 24), axis=1)
-    # Odd and even multipliers would mix 3-grams with 4-grams that end in byte 0; both are odd here.
-    hashed = (keys * np.array([2654435761, 2246822519], np.uint32)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+    # A multiplier each, so that a 3-gram is not taken for a 4-gram that ends in byte 0.
+    factors, bits = np.array([2654435761, 2246822519], np.uint32), BUCKETS.bit_length() - 1
+    hashed = (keys * factors) >> np.uint32(32 - bits)
     at = np.arange(n)
     whole = np.stack((at + 3 <= ends, at + 4 <= ends), axis=1)
     counts = np.add.reduceat(whole.sum(axis=1), np.cumsum(sizes) - sizes)

@@ -29,13 +29,20 @@ WEIGHTS = (3, 1, 2)
 OFFSETS = 32
 #: A word, as the size counts it.
 WORD = r"[^\x20\x09-\x0D]+"
+#: The characters that are in no word.
+BLANKS = "\x20\x09\x0A\x0B\x0C\x0D"
 #: Hex digits of the MD5 that make an offset: fewer than a double's 53 bits.
 _HEX = 12
 
 
+def word_count(text: Column) -> Column:
+    """Matches of ``WORD``: each becomes one letter and the blanks go, so no list of words is made."""
+    return F.length(F.translate(F.regexp_replace(text, WORD, "w"), BLANKS, ""))
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
     """The documents with ``mix_`` columns for the size and the cell."""
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    size = F.coalesce(word_count(F.col(text)), F.lit(0)).cast("long")
     digits = F.col("mix_size").cast("string")
     return (
         docs.withColumn("mix_row", row_hash(docs))

@@ -175,6 +175,15 @@ def test_ledger_scans_unseen_pairs_only(spark):
     assert {r.doc_id: len(r.spans or ()) for r in found} == {1: 1, 2: 1, 3: 0}
 
 
+def test_words_are_counted_as_the_pattern_finds_them(spark):
+    texts = [None, "", " \t\n\x0b\x0c\r ", " a  b\x0bc ", "w w", "\x1ca\x85b\xa0c", "\U0001f642 \x00 é", LONG]
+    found = spark.createDataFrame([(x,) for x in texts], "text string").select(
+        mixing.word_count(F.col("text")).alias("n"), F.regexp_count("text", F.lit(mixing.WORD)).alias("m")
+    )
+    assert [r.n for r in found.collect()] == [None, 0, 0, 3, 2, 1, 3, 60000]
+    assert all(r.n == r.m for r in found.collect())
+
+
 def test_mix_of_a_hot_source_lands_near_its_target(spark):
     rng = random.Random(3)
     some = [(i, "w " * rng.randint(0, 60), None, "hot" if i % 3 == 0 else f"s{i % 7}", 0) for i in range(4000)]

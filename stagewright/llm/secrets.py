@@ -148,14 +148,16 @@ def scan(
             .drop("seen")
         )
     # By path and blob: copies of one text are on many paths, which spreads them.
+    name = [F.col("path").isNull().alias("unnamed"), F.coalesce(F.col("path").cast("string"), F.lit("")).alias("name")]
+    slim = blobs.select("blob", *name, "todo").hint("shuffle_hash")
     texts = docs.select(
-        F.col(path).alias("p"),
+        F.col(path).alias("path"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("content"),
-    ).withColumn("b", blob_of(F.col("content")))
-    # Hashed, not sorted: the side that is built is the slim one.
-    unseen = texts.join(
-        blobs.hint("shuffle_hash"), (texts.b == blobs.blob) & texts.p.eqNullSafe(blobs.path)
-    ).select("blob", "content", "todo")
+    ).select(blob_of(F.col("content")).alias("blob"), *name, "content")
+    # Hashed, not sorted: the side that is built is the slim one. One row of those alike is kept, by
+    # the very columns that were joined on, so that texts are not shuffled again.
+    key = ["blob", "unnamed", "name"]
+    unseen = texts.join(slim, key).dropDuplicates(key).select("blob", "content", "todo")
     span = F.struct("start", "end")
     found = (
         _matches(unseen, rules)

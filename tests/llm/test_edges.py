@@ -175,6 +175,27 @@ def test_ledger_scans_unseen_pairs_only(spark):
     assert {r.doc_id: len(r.spans or ()) for r in found} == {1: 1, 2: 1, 3: 0}
 
 
+def test_secrets_of_alike_rows_keep_their_places(spark):
+    named, unnamed = "a password=hunter22 b token=abcdef", "x secret: 12345678 y token=ghijkl"
+    some = [(n, named, None, None, len(named)) for n in (1, 1, 2)]
+    some += [(None, unnamed, None, None, len(unnamed))] * 3 + [(3, unnamed + "!", None, None, 0)] * 2
+    docs = frame(spark, some)
+    want = {
+        text: [(text.index(a), text.index(a) + len(a)) for a in matches]
+        for text, matches in (
+            (named, ("password=hunter22", "token=abcdef")),
+            (unnamed, ("secret: 12345678", "token=ghijkl")),
+            (unnamed + "!", ("secret: 12345678", "token=ghijkl")),
+        )
+    }
+    ledger = secrets.scan(docs)
+    got = secrets.findings(docs, ledger).collect()
+    assert len(got) == len(some)
+    assert all([(s.start, s.end) for s in r.spans] == want[r.text] for r in got)
+    masked = Counter(r.text for r in secrets.redact(docs, ledger).collect())
+    assert masked == {"a [SECRET] b [SECRET]": 3, "x [SECRET] y [SECRET]": 3, "x [SECRET] y [SECRET]!": 2}
+
+
 def test_words_are_counted_as_the_pattern_finds_them(spark):
     texts = [None, "", " \t\n\x0b\x0c\r ", " a  b\x0bc ", "w w", "\x1ca\x85b\xa0c", "\U0001f642 \x00 é", LONG]
     found = spark.createDataFrame([(x,) for x in texts], "text string").select(

@@ -12,12 +12,13 @@ windows are added up. The logit of a document is divided by a temperature fitted
 sample that was not learned from, and shifted from the sample's share of the classes to that of all
 labelled rows that may be learned from.
 
-Null texts and texts without a token score 0. With no labelled rows of both classes every score is
+Null texts and texts without a token score 0. With no labelled texts of both classes every score is
 the share of class 1, or 0.5 if there is none.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -41,6 +42,7 @@ BUCKETS, WORD_WIDTH, CHAR_WIDTH, STATE, ATTENTION = 1 << 14, 8, 16, 8, 8
 STEPS, BATCH, RATE = 450, 24, 0.01
 #: Tokens that a worker remembers, and windows that it scores at a time.
 REMEMBERED, TOGETHER = 200_000, 1024
+_LOG = logging.getLogger(__name__)
 _EDGES = re.compile(r"^\W+|\W+$")
 
 
@@ -260,8 +262,10 @@ def learn(texts: list[str], labels: list[int], share: float) -> Model:
     model = Model(vocabulary, initial(len(vocabulary)))
     y = np.array(labels, np.float64)
     filled = np.array([i for i, words in enumerate(documents) if words], np.int64)
-    # Every sixth row fits the temperature.
+    # Every sixth row fits the temperature, unless the others lack a class without it.
     aside, own = filled[5::6], np.delete(filled, np.arange(5, len(filled), 6))
+    if len(set(y[own])) < 2:
+        aside, own = filled[:0], filled
     rng = np.random.default_rng(1)
     first = {k: np.zeros_like(w) for k, w in model.weights.items()}
     second = {k: np.zeros_like(w) for k, w in model.weights.items()}
@@ -357,13 +361,14 @@ def scorer_of(
     remainder: int,
     per: int,
     most_chars: int,
-) -> Callable[[Column], Column]:
-    """Learns from the labelled rows and gives what scores a text column."""
+) -> tuple[Callable[[Column], Column], bool]:
+    """Learns from the labelled rows; gives what scores a text column, and whether it has learned."""
     spark = docs.sparkSession
     small_batches(spark)
     bounds = {"modulus": modulus, "remainder": remainder, "per": per, "most_chars": most_chars}
     texts, y, share = labelled_texts(docs, labels, label, doc_id=doc_id, text=text, **bounds)
-    model = spark.sparkContext.broadcast(learn(texts, y, share) if len(set(y)) == 2 else None)
+    learned = len({label for body, label in zip(texts, y, strict=True) if body.split()}) == 2
+    model = spark.sparkContext.broadcast(learn(texts, y, share) if learned else None)
 
     @F.pandas_udf("double")
     def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -372,7 +377,7 @@ def scorer_of(
             bodies = [x or "" for x in batch]
             yield pd.Series(scorer.scores(bodies) if scorer else np.full(len(bodies), share))
 
-    return each
+    return each, learned
 
 
 def score(
@@ -389,7 +394,7 @@ def score(
 ) -> DataFrame:
     """The documents with ``held_out``, ``score`` and ``predicted``; columns so named are replaced."""
     bounds = {"modulus": modulus, "remainder": remainder, "per": per, "most_chars": most_chars}
-    each = scorer_of(docs, labels, doc_id=doc_id, text=text, label=label, **bounds)
+    each, _ = scorer_of(docs, labels, doc_id=doc_id, text=text, label=label, **bounds)
     (found,) = fresh(docs, "found")
     plain = [c for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
     return docs.withColumn(found, each(F.col(text))).select(
@@ -415,11 +420,12 @@ def without_toxic(
 ) -> DataFrame:
     """The documents, with their own columns, that score below ``threshold``.
 
-    Without labels of both classes nothing is known to be toxic, and every document stays.
+    Where the texts that may be learned from are not of both classes, there is no model: nothing is
+    known to be toxic, every document stays, and a warning says so.
     """
     bounds = {"modulus": modulus, "remainder": remainder, "per": per, "most_chars": most_chars}
-    known = labels.filter(F.col(label).isin(0, 1)).agg(F.count_distinct(label)).first()[0]
-    if known < 2:
+    each, learned = scorer_of(docs, labels, doc_id=doc_id, text=text, label=label, **bounds)
+    if not learned:
+        _LOG.warning("no texts of both classes to learn from: every document is kept, toxic ones too")
         return docs
-    each = scorer_of(docs, labels, doc_id=doc_id, text=text, label=label, **bounds)
     return docs.filter(each(F.col(text)) < threshold)

@@ -385,6 +385,27 @@ def test_passages_in_many_shards(spark, monkeypatch, runs, size):
     assert Counter((r.doc_id, r.n_removed, hashlib.sha256(r.kept).hexdigest()) for r in got) == want
 
 
+@pytest.mark.parametrize("flip", [0, 1])
+def test_every_document_stays_without_a_model(spark, caplog, flip):
+    docs = frame(spark, [(i, f"words of text {i}", None, None, 0) for i in range(40)])
+    out = docs.select("doc_id", toxicity.held_out(F.col("doc_id"), toxicity.MODULUS, toxicity.REMAINDER).alias("o"))
+    held = {r.doc_id: r.o for r in out.collect()}
+    assert len(set(held.values())) == 2
+    # One class is held out or of other documents, or its texts have no words.
+    known = [(i, None, int(o) ^ flip) for i, o in held.items()] + [(100, None, 1 ^ flip)]
+    assert toxicity.without_toxic(docs, labels(spark, known)).count() == 40
+    assert "every document is kept" in caplog.text
+    blank = frame(spark, [(i, f"words {i}" if o else " " * (i % 2) + "x" * (i % 2), None, None, 0) for i, o in held.items()])
+    assert toxicity.without_toxic(blank, labels(spark, [(i, None, i % 2 ^ flip) for i in held])).count() == 40
+
+
+def test_the_temperature_does_not_take_the_only_row_of_a_class():
+    texts = [f"plain words {i}" for i in range(5)] + ["vile vile vile"]
+    model = toxicity.learn(texts, [0] * 5 + [1], 1 / 6)
+    found = toxicity.Scorer(model).scores(texts)
+    assert found[5] > 0.5 > found[:5].max()
+
+
 def test_pipeline_stages_on_odd_rows(spark, tmp_path):
     folder = str(tmp_path)
     frame(spark).write.parquet(f"{folder}/documents.parquet")

@@ -8,7 +8,7 @@ frozen after learning, so the cost of any byte in any context is a table entry a
 length is an exact sum. The language with the shortest code wins, equal ones by name.
 
 The tables are learned from a bounded sample: ``PER`` texts of each language, of ``MOST_BYTES`` at
-most; each order keeps the ``CONTEXTS`` commonest contexts, and a longer one falls back to its
+most or longer ones where these are too few; each order keeps the ``CONTEXTS`` commonest contexts, and a longer one falls back to its
 suffix. Every text is scored whole. Null texts and texts without a letter are ``und`` with score 0,
 and so is everything if there is nothing to learn from.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagewright.llm.common import fresh, small_batches
-from stagewright.llm.training import held_out, thinned
+from stagewright.llm.training import held_out, sampled
 
 ORDER, CONTEXTS = 3, 16384
 PER, MOST_BYTES = 400, 32768
@@ -146,20 +146,22 @@ def code_lengths(model: Model, texts: list[bytes], order: int = ORDER) -> np.nda
 def sample(
     docs: DataFrame, *, doc_id: str, text: str, lang: str, modulus: int, remainder: int, per: int, most_bytes: int
 ) -> dict[str, list[bytes]]:
-    """At most ``per`` texts of each language to learn from, of ``most_bytes`` at most, as bytes.
+    """At most ``per`` texts of each language to learn from, as bytes.
 
-    Languages are counted first; a hash of the id then thins each to about one and a half times
-    ``per`` rows, so the driver gets a number of bytes that does not grow with the table.
+    They are drawn from those of up to ``most_bytes``; a language with fewer of these is filled up
+    with longer texts, up to ``per * most_bytes`` in all. Languages are counted first; a
+    hash of the id then thins each to about one and a half times ``per`` rows before any is brought
+    together, so the driver gets a number of bytes that does not grow with the rows of a language.
     """
     rows = docs.select(
-        F.col(doc_id).alias("id"), F.col(lang).cast("string").alias("stratum"), F.col(text).alias("text")
-    ).filter(~held_out(F.col(doc_id), modulus, remainder) & F.col("stratum").isNotNull())
-    thin = thinned(rows, per).filter(F.octet_length("text") <= most_bytes)
+        F.col(doc_id).alias("id"),
+        F.col(lang).cast("string").alias("stratum"),
+        F.col(text).alias("text"),
+        F.octet_length(F.col(text)).cast("long").alias("size"),
+    ).filter(~held_out(F.col(doc_id), modulus, remainder) & F.col("stratum").isNotNull() & F.col("size").isNotNull())
     out: dict[str, list[bytes]] = {}
-    for row in sorted(thin.collect(), key=lambda r: (r.stratum, r.place, r.id, r.text)):
-        texts = out.setdefault(row.stratum, [])
-        if len(texts) < per:
-            texts.append(row.text.encode("utf-8", "surrogatepass"))
+    for row in sorted(sampled(rows, per, most_bytes).collect(), key=lambda r: (r.stratum, r.place, r.id, r.text)):
+        out.setdefault(row.stratum, []).append(row.text.encode("utf-8", "surrogatepass"))
     return out
 
 

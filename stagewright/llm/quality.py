@@ -30,13 +30,13 @@ from stagewright.llm.common import fresh, small_batches
 from stagewright.llm.training import calibrate, held_out, labelled_texts, sigmoid
 
 MODULUS, REMAINDER = 3, 1
-#: Rows of each class that are learned from at most, and the longest of them in characters.
+#: Rows of each class that are learned from at most, and the longest in characters if there are enough.
 PER, MOST_CHARS = 1500, 20000
 WORDS, SHAPES, LEAST = 20000, 1000, 3
 WIDTH, ONES, AROUND = 64, 6, 2
 HIDDEN, ROUNDS, BATCH, RATE, DECAY = 32, 60, 128, 0.003, 1e-4
-#: Tokens that a worker remembers.
-REMEMBERED = 300_000
+#: Tokens that a worker remembers, and tokens whose surroundings are summed at a time.
+REMEMBERED, PIECE = 300_000, 1 << 15
 _EDGES = re.compile(r"^\W+|\W+$")
 _RUNS = re.compile(r"([^\W\d_]+)|(\d+)|(.)\3*", re.S)
 
@@ -112,13 +112,17 @@ def _vectors(documents: list[tuple[np.ndarray, np.ndarray]], words: list[str], s
     of_shape = np.vstack([index_vector(s) for s in twice])
     word_sums, shape_sums = np.zeros_like(of_word), np.zeros_like(of_shape)
     for w, s in documents:
-        own = of_word[w] + of_shape[s]
-        around = np.zeros_like(own)
-        for d in range(1, AROUND + 1):
-            around[d:] += own[:-d]
-            around[:-d] += own[d:]
-        np.add.at(word_sums, w, around)
-        np.add.at(shape_sums, s, around)
+        # In pieces with the tokens around them, as a document may be long.
+        for at in range(0, len(w), PIECE):
+            low, here = max(0, at - AROUND), slice(at, at + PIECE)
+            own = of_word[w[low : at + PIECE + AROUND]] + of_shape[s[low : at + PIECE + AROUND]]
+            around = np.zeros_like(own)
+            for d in range(1, AROUND + 1):
+                around[d:] += own[:-d]
+                around[:-d] += own[d:]
+            around = around[at - low : at - low + PIECE]
+            np.add.at(word_sums, w[here], around)
+            np.add.at(shape_sums, s[here], around)
     out = []
     for sums in (word_sums, shape_sums):
         size = np.sqrt((sums * sums).sum(axis=1, keepdims=True))

@@ -29,19 +29,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagewright.llm.common import fresh, small_batches
+from stagewright.llm.common import fresh, slices, small_batches
 from stagewright.llm.training import calibrate, held_out, labelled_texts, sigmoid
 
 MODULUS, REMAINDER = 5, 0
-#: Rows of each class that are learned from at most, and the longest of them in characters.
+#: Rows of each class that are learned from at most, and the longest in characters if there are enough.
 PER, MOST_CHARS = 1000, 6000
 WINDOW, STRIDE = 32, 16
 WORDS, LEAST = 20000, 5
 #: Buckets of character n-grams (a power of two), and the widths of the layers.
 BUCKETS, WORD_WIDTH, CHAR_WIDTH, STATE, ATTENTION = 1 << 14, 8, 16, 8, 8
 STEPS, BATCH, RATE = 450, 24, 0.01
-#: Tokens that a worker remembers, and windows that it scores at a time.
-REMEMBERED, TOGETHER = 200_000, 1024
+#: Tokens that a worker remembers, and windows that are scored and learned from at a time.
+REMEMBERED, TOGETHER, LEARNED = 200_000, 1024, 4096
 _LOG = logging.getLogger(__name__)
 _EDGES = re.compile(r"^\W+|\W+$")
 
@@ -232,9 +232,17 @@ def _learn_batch(model: Model, texts: list[list[str]], y: np.ndarray) -> dict:
         at += len(words)
     flat = np.array([place[w] for words in texts for w in words], np.int64)
     owner = np.concatenate(owners)
-    grid, real = _grid(flat, np.concatenate(starts), np.concatenate(sizes))
+    starts, sizes = np.concatenate(starts), np.concatenate(sizes)
+    parts = [slice(a, a + LEARNED) for a in range(0, len(starts), LEARNED)]
+
+    def part_of(part: slice, keep: list | None):
+        grid, real = _grid(flat, starts[part], sizes[part])
+        return grid, *run(weights, ahead, behind, grid, real, keep)
+
+    # More windows than fit go in parts, once for the odds and once more for the slopes.
     keep: list = []
-    logits, seen = run(weights, ahead, behind, grid, real, keep)
+    done = [part_of(part, keep if len(parts) == 1 else None)[: 3 if len(parts) == 1 else 2] for part in parts]
+    logits = np.concatenate([x[1] for x in done])
     # A document's odds are the sum of its windows' odds.
     first = np.flatnonzero(np.diff(owner, prepend=-1))
     most = np.maximum.reduceat(logits, first)
@@ -242,8 +250,18 @@ def _learn_batch(model: Model, texts: list[list[str]], y: np.ndarray) -> dict:
     total = np.add.reduceat(odds, first)
     whole = sigmoid(most + np.log(total))
     runs = np.diff(first, append=len(owner))
-    error = np.repeat((whole - y) / len(y) / total, runs) * odds
-    out, d_rows = slopes(weights, len(x), grid, keep, seen, error.astype(np.float32))
+    error = (np.repeat((whole - y) / len(y) / total, runs) * odds).astype(np.float32)
+    out: dict = {}
+    d_rows = 0
+    for part in parts:
+        if len(parts) > 1:
+            keep = []
+            grid, _, seen = part_of(part, keep)
+        else:
+            grid, _, seen = done[0]
+        found, rows = slopes(weights, len(x), grid, keep, seen, error[part])
+        out = {name: out[name] + found[name] for name in found} if out else found
+        d_rows = d_rows + rows
     out["into"], out["bias"] = x.T @ d_rows, d_rows.sum(axis=0)
     dx = d_rows @ weights["into"].T
     out["word"] = np.zeros_like(weights["word"])
@@ -269,22 +287,23 @@ def learn(texts: list[str], labels: list[int], share: float) -> Model:
     rng = np.random.default_rng(1)
     first = {k: np.zeros_like(w) for k, w in model.weights.items()}
     second = {k: np.zeros_like(w) for k, w in model.weights.items()}
-    step, rounds = 0, -(-STEPS // max(1, -(-len(own) // BATCH)))
-    all_steps = rounds * -(-len(own) // BATCH)
-    for _ in range(rounds):
-        order = rng.permutation(own)
-        for at in range(0, len(order), BATCH):
-            some = order[at : at + BATCH]
-            found = _learn_batch(model, [documents[i] for i in some], y[some])
-            size = np.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in found.values()))
-            step += 1
-            rate = RATE * (1 - step / (all_steps + 1))
-            for name, weight in model.weights.items():
-                g = found[name] * min(1.0, 1 / (size + 1e-9))
-                a, b = first[name], second[name]
-                a += 0.1 * (g - a)
-                b += 0.01 * (g * g - b)
-                weight -= (rate / (1 - 0.9**step)) * a / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+    # A batch has ``BATCH`` documents, or fewer if they are long.
+    weight_of = np.array([max(MOST_CHARS, len(text)) for text in texts])
+    limit = BATCH * MOST_CHARS
+    rounds = -(-STEPS // max(1, -(-int(weight_of[own].sum()) // limit)))
+    batches = []
+    for order in (rng.permutation(own) for _ in range(rounds)):
+        batches += [order[a:b] for a, b in slices(weight_of[order].tolist(), limit)]
+    for step, some in enumerate(batches, 1):
+        found = _learn_batch(model, [documents[i] for i in some], y[some])
+        size = np.sqrt(sum(float((g.astype(np.float64) ** 2).sum()) for g in found.values()))
+        rate = RATE * (1 - step / (len(batches) + 1))
+        for name, weight in model.weights.items():
+            g = found[name] * min(1.0, 1 / (size + 1e-9))
+            a, b = first[name], second[name]
+            a += 0.1 * (g - a)
+            b += 0.01 * (g * g - b)
+            weight -= (rate / (1 - 0.9**step)) * a / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
     scorer = Scorer(model)
     model.temperature = calibrate(scorer.logits([texts[i] for i in aside]), y[aside])
     ours = min(max(y.mean(), 1e-3), 1 - 1e-3)

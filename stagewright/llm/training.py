@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stagewright.llm.common import written
+
 #: What the hash of an id is spread over.
 RANGE = 1 << 30
 
@@ -21,28 +23,46 @@ def spread(doc_id: Column) -> Column:
     return F.pmod(F.xxhash64(doc_id), F.lit(RANGE))
 
 
-def thinned(rows: DataFrame, per: int) -> DataFrame:
-    """About one and a half times ``per`` rows (``id, stratum``) of each stratum, by a hash of the id.
+def thinned(rows: DataFrame, per: int, most: int) -> DataFrame:
+    """About one and a half times ``per`` rows (``id, stratum, size``) of each stratum, by a hash of the id.
 
-    The strata, classes or languages, are few and are counted first, so that rows are thinned where
-    they are read and no stratum is ever brought together. ``place`` is what to order by.
+    Rows of a size over ``most`` are drawn, as many again, only for strata with fewer than ``per``
+    others. The strata, classes or languages, are few and are counted first, so that rows are thinned
+    where they are read and no stratum is ever brought together. ``place`` is what to order by.
     """
-    counted = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("n")).collect()
+    fits = F.col("size") <= most
+    counts = F.count_if(fits).alias("short"), F.count_if(~fits).alias("long")
+    counted = rows.groupBy("stratum").agg(*counts).collect()
     if not counted:
         return rows.withColumn("place", spread(F.col("id"))).limit(0)
-    limits = [x for r in counted for x in (r.stratum, min(RANGE, int(1.5 * per * RANGE / r.n)))]
-    limit = F.create_map(*map(F.lit, limits))[F.col("stratum")]
-    return rows.withColumn("place", spread(F.col("id"))).filter(F.col("place") <= limit)
+
+    def limit(wanted) -> Column:
+        # At least one row, so that no division is by zero.
+        pairs = [(r.stratum, min(RANGE, int(1.5 * per * RANGE / max(1, n)))) for r in counted for n in wanted(r)]
+        return F.create_map(*[F.lit(x) for pair in pairs for x in pair])[F.col("stratum")] if pairs else F.lit(-1)
+
+    few = limit(lambda r: [r.long] if r.short < per else [])
+    place = rows.withColumn("place", spread(F.col("id")))
+    return place.filter(F.col("place") <= F.when(fits, limit(lambda r: [r.short])).otherwise(F.coalesce(few, F.lit(-1))))
 
 
-def sample_ids(rows: DataFrame, per: int) -> DataFrame:
-    """At most ``per`` rows (``id, stratum``) of each stratum, the first by a hash of the id."""
-    order = Window.partitionBy("stratum").orderBy("place", "id")
+def sampled(rows: DataFrame, per: int, most: int) -> DataFrame:
+    """At most ``per`` rows (``id, stratum, size``) of each stratum, the first by a hash of the id.
+
+    Those of a size up to ``most`` come first. Where they are fewer, longer ones fill up, drawn by the
+    hash as well and the shortest of these first, as long as all of the stratum stay within
+    ``per * most`` together; rows that are longer by themselves are left out before anything is drawn.
+    """
+    longer = F.when(F.col("size") > most, F.col("size")).otherwise(0)
+    order = Window.partitionBy("stratum").orderBy("longer", "place", "id", "size")
+    so_far = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        thinned(rows, per)
+        thinned(rows.filter(F.col("size") <= per * most), per, most)
+        .withColumn("longer", longer)
         .withColumn("number", F.row_number().over(order))
-        .filter(F.col("number") <= per)
-        .select("id", "stratum")
+        .withColumn("so_far", so_far)
+        .filter((F.col("number") <= per) & (F.col("so_far") <= per * most))
+        .drop("longer", "number", "so_far")
     )
 
 
@@ -60,10 +80,12 @@ def labelled_texts(
 ) -> tuple[list[str], list[int], float]:
     """Whole texts and 0/1 labels of a bounded sample, and the share of label 1 among all labels.
 
-    Only rows that are not held out count. ``per`` rows of each class are taken at most; of these,
-    texts longer than ``most_chars`` are not learned from, so the driver gets ``2 * per *
-    most_chars`` characters at most. Labels other than 0 and 1 and rows without a text teach
-    nothing; an id with several labels has the least. The share is 0.5 if there are no labels.
+    Only rows that are not held out count. ``per`` rows of each class are taken at most, drawn from
+    the texts of up to ``most_chars``; a class with fewer of these is filled up with longer
+    texts. All of a class have ``per * most_chars`` characters at most, which bounds what the
+    driver gets; only a text longer than that by itself is never learned from. Labels other than 0
+    and 1 and rows without a text teach nothing; an id with several labels has the least, one with
+    several texts the shortest. The share is 0.5 if there are no labels.
     """
     rows = (
         labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
@@ -72,12 +94,14 @@ def labelled_texts(
         .agg(F.min("y").alias("stratum"))
     )
     share = rows.agg(F.avg("stratum")).first()[0]
-    chosen = sample_ids(rows, per)
-    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(
-        F.length("text") <= most_chars
-    )
+    own = docs.select(
+        F.col(doc_id).alias("id"), F.col(text).alias("text"), F.length(F.col(text)).cast("long").alias("size")
+    ).filter(F.col("size").isNotNull())
+    # Without the texts, written once since it is counted and then drawn from.
+    sizes = rows.join(own.select("id", "size"), "id").groupBy("id", "stratum").agg(F.min("size").alias("size"))
+    chosen = sampled(written(sizes, "labelled"), per, most_chars).select("id", "stratum", "size")
     # At most 2 * per ids: a size that does not grow with the data.
-    found = own.join(F.broadcast(chosen), "id").select("id", "text", "stratum").dropDuplicates(["id"])
+    found = own.join(F.broadcast(chosen), ["id", "size"]).groupBy("id", "stratum").agg(F.min("text").alias("text"))
     pairs = sorted((r.id, r.text, r.stratum) for r in found.collect())
     bounded = 0.5 if share is None else min(max(share, 1e-3), 1 - 1e-3)
     return [text for _, text, _ in pairs], [y for _, _, y in pairs], bounded

@@ -20,6 +20,7 @@ from stagewright.llm import (
     secrets,
     simhash,
     toxicity,
+    training,
 )
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -267,6 +268,55 @@ def test_languages_without_letters_and_without_learning(spark):
     assert {(r.lang_pred, r.score) for r in langid.identify(bare).collect()} == {("und", 0.0)}
 
 
+def free_ids(spark, modulus, remainder, n):
+    out = spark.range(20 * n).filter(~toxicity.held_out(F.col("id"), modulus, remainder)).limit(n)
+    return [r.id for r in out.collect()]
+
+
+def test_samples_are_drawn_from_texts_that_fit(spark):
+    ids = free_ids(spark, 5, 0, 80)
+    # Class 1 has few short texts among many long ones, class 0 long ones only.
+    texts = {i: ("s" if n < 5 else "l" * 500) + str(n) if n < 40 else "w" * (n + 60) for n, i in enumerate(ids)}
+    # A text that is too long by itself does not stand in for one that fits.
+    texts |= dict.fromkeys(ids[50:], "w" * 251)
+    docs = frame(spark, [(i, t, None, None, 0) for i, t in texts.items()])
+    known = labels(spark, [(i, None, int(n < 40)) for n, i in enumerate(ids)])
+    options = {"modulus": 5, "remainder": 0, "per": 5, "most_chars": 50}
+    got, y, share = training.labelled_texts(docs, known, "toxic", **options)
+    assert {t for t, label in zip(got, y, strict=True) if label} == {texts[i] for i in ids[:5]}
+    # As many whole texts as stay within 250 characters.
+    long = [len(t) for t, label in zip(got, y, strict=True) if not label]
+    assert len(long) == 2 and all(100 <= n < 110 for n in long)
+    assert share == 0.5
+
+
+def test_languages_of_long_texts_are_learned(spark):
+    ids = free_ids(spark, 5, 0, 60)
+    some = [(i, ("ab " if n < 4 else "ba " * 60) + str(n), "few", None, 0) for n, i in enumerate(ids[:40])]
+    some += [(i, "cd " * 40 + str(n), "long", None, 0) for n, i in enumerate(ids[40:])]
+    options = {"doc_id": "doc_id", "text": "text", "lang": "lang", "modulus": 5, "remainder": 0}
+    found = langid.sample(frame(spark, some), per=4, most_bytes=100, **options)
+    assert {t[:3] for t in found["few"]} == {b"ab "} and len(found["few"]) == 4
+    assert 1 <= len(found["long"]) <= 3 and all(len(t) > 100 for t in found["long"])
+
+
+def test_long_documents_are_learned_from_in_parts(monkeypatch):
+    rng = random.Random(4)
+    words = [[rng.choice("abcdefgh") * 2 for _ in range(n)] for n in (700, 3, 90)]
+    y = np.array([1.0, 0, 1])
+    model = toxicity.Model({"aa": 1, "bb": 2}, toxicity.initial(2))
+    whole = toxicity._learn_batch(model, words, y)
+    numbers = [(rng.choices(range(3), k=n), rng.choices(range(6), k=n)) for n in (50, 1, 7, 0)]
+    numbers = [tuple(np.array(x, np.int64) for x in pair) for pair in numbers]
+    vectors_whole = quality._vectors(numbers, ["a", "b"], ["A", "B"])
+    monkeypatch.setattr(toxicity, "LEARNED", 4)
+    monkeypatch.setattr(quality, "PIECE", 3)
+    parts = toxicity._learn_batch(model, words, y)
+    assert all(np.allclose(whole[k], parts[k], rtol=1e-3, atol=1e-6) for k in whole)
+    for a, b in zip(vectors_whole, quality._vectors(numbers, ["a", "b"], ["A", "B"]), strict=True):
+        assert np.allclose(a, b, atol=1e-5)
+
+
 def test_pieces_of_odd_texts():
     vocabulary = pieces.load()
     encoder, decoder = pieces.Encoder(vocabulary), pieces.Decoder(vocabulary)

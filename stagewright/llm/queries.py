@@ -12,6 +12,7 @@ from stagewright.llm import (
     langid,
     mixing,
     passages,
+    phrases,
     pieces,
     projected,
     quality,
@@ -235,3 +236,49 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.without_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP11_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM runs GROUP BY lang),
+grams AS (
+  SELECT lang, g, count(*) AS f
+  FROM (SELECT lang, m, w[i:i + m - 1] AS g
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+              FROM runs, range(1, {phrases.LONGEST + 1}) AS r(m)))
+  GROUP BY lang, g HAVING count(*) >= {phrases.SUPPORT}),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST({phrases.SCALE} :: HUGEINT * c.f // (l.f + r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, len(g))) AS k FROM grams WHERE len(g) > 1) c
+  JOIN grams l ON l.lang = c.lang AND l.g = c.g[1:k]
+  JOIN grams r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+best AS (
+  SELECT * FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inner_parts AS (
+  SELECT lang, g[i:i + n - 1] AS part, max(f) AS longer
+  FROM (SELECT lang, g, f, n, unnest(range(1, len(g) - n + 2)) AS i
+        FROM grams, range(2, {phrases.LONGEST}) AS r(n) WHERE n < len(g))
+  GROUP BY ALL),
+named AS (
+  SELECT b.lang, array_to_string(b.g, ' ') AS phrase, a, l, r, n, score
+  FROM best b JOIN totals t ON t.lang = b.lang
+  LEFT JOIN inner_parts p ON p.lang = b.lang AND p.part = b.g
+  WHERE longer IS NULL OR 100 :: HUGEINT * longer < {phrases.COVERED} :: HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM named
+QUALIFY rank <= {phrases.TOP}"""
+
+
+@query(OP11_SQL)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first phrases of each language."""
+    return phrases.top_phrases(table(spark, sf_dir, "documents").select("lang", "text"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stagewright.llm import (
+    divergence,
     kdsearch,
     langid,
     mixing,
@@ -282,3 +283,49 @@ QUALIFY rank <= {phrases.TOP}"""
 def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first phrases of each language."""
     return phrases.top_phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP12_SQL = rf"""
+WITH rows_ AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT row_id, lang, source, unnest(terms) AS term FROM rows_),
+kept AS (
+  SELECT lang, term FROM words GROUP BY lang, term
+  HAVING count(DISTINCT row_id) >= {divergence.LEAST_DOCS}),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups_ AS (SELECT DISTINCT lang, source FROM rows_),
+counted AS (
+  SELECT lang, source, term, count(*) AS n
+  FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+every AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, v, sum(coalesce(n, 0)) OVER (PARTITION BY lang, source) AS total
+  FROM groups_ JOIN kept USING (lang) JOIN sizes USING (lang) LEFT JOIN counted USING (lang, source, term)),
+shares AS (
+  SELECT lang, source, term, n,
+         CAST(1 + {divergence.UNIT} :: HUGEINT * (n + 1) // (total + v) AS BIGINT) AS p FROM every),
+whole AS (
+  SELECT lang, term, CAST(1 + {divergence.UNIT} :: HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang) + v) AS BIGINT) AS q
+  FROM (SELECT lang, term, any_value(v) AS v, sum(n) AS n FROM every GROUP BY lang, term)),
+pair_sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups_ a JOIN groups_ b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT)
+  FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts
+QUALIFY part = 'pair' OR rank <= {divergence.TOP}"""
+
+
+@query(OP12_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each source of a language differs from the others, and by which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))

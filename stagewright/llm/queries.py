@@ -11,6 +11,7 @@ from stagewright.llm import (
     divergence,
     kdsearch,
     langid,
+    licenses,
     mixing,
     passages,
     phrases,
@@ -329,3 +330,25 @@ QUALIFY part = 'pair' OR rank <= {divergence.TOP}"""
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each source of a language differs from the others, and by which terms."""
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query(None)
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license phrases and notices of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = F.filter("found", lambda f: f["notice"] < len(licenses.BASE))
+
+    def labels(found: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda f: f["label"]))), ",")
+
+    starts = F.transform(base, lambda f: f["start"])
+    return licenses.with_licenses(docs).select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("found")).alias("labels"),
+        "score",
+    )

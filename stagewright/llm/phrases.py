@@ -240,7 +240,7 @@ def frequent(
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), body.alias("text"))
     sizes = rows.agg(F.sum(F.length("text")), F.max(F.length("text"))).first()
-    total, longest = sizes[0] or 0, sizes[1] or 0
+    total, longest = max(1, sizes[0] or 0), sizes[1] or 0
     for seed in count():
         words = written(word_counts(rows, seed), "words")
         if words.groupBy("h").count().filter("count > 1").isEmpty():

@@ -257,12 +257,13 @@ def _recounted(rows: DataFrame, sent) -> DataFrame:
         def passed_on() -> Iterator[pa.RecordBatch]:
             for lang, by_source in counts.items():
                 terms, ordinals = _transduced(set().union(*by_source.values()), machines[lang], width)
-                ordinal = dict(zip(terms, ordinals, strict=True))
-                whole = Counter()
+                ordinal = dict(zip(terms, ordinals.tolist(), strict=True))
+                parts = []
                 for source, times in by_source.items():
-                    whole.update(times)
-                    yield from _by_block(lang, source, way, times, ordinal, width)
-                yield from _by_block(lang, None, way, whole, ordinal, width)
+                    number = np.fromiter(map(ordinal.__getitem__, times), np.int64, len(times))
+                    parts.append((number, np.fromiter(times.values(), np.int64, len(times))))
+                    yield from _by_block(lang, source, way, *parts[-1], width)
+                yield from _by_block(lang, None, way, *map(np.concatenate, zip(*parts, strict=True)), width)
             counts.clear()
 
         for batch in batches:
@@ -288,21 +289,18 @@ def _transduced(found: set[bytes], machines: list, width: int) -> tuple[list[byt
     return terms, out
 
 
-def _by_block(lang: str, source: str | None, way: int, times: Counter, ordinal: dict, width: int) -> Iterator[pa.RecordBatch]:
-    number = np.fromiter(map(ordinal.__getitem__, times), np.int64, len(times))
-    n = np.fromiter(times.values(), np.int64, len(times))
+def _by_block(lang: str, source: str | None, way: int, number: np.ndarray, n: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
+    """Counts of ordinals, which may come several times or be -1, as a packed row for each block."""
     order = np.argsort(number, kind="stable")
-    order = order[np.searchsorted(number[order], 0) :]
     number, n = number[order], n[order]
+    number, n = number[(first := np.searchsorted(number, 0)) :], n[first:]
+    if not len(number):
+        return
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    number, n = number[starts], np.add.reduceat(n, starts)
     block = number // width
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
-    packed = [
-        _pack(lang, source, int(block[a]), way, number[a:b] % width, n[a:b])
-        for a, b in zip(cuts, cuts[1:])
-        if b > a
-    ]
-    if packed:
-        yield _batch(packed)
+    yield _batch([_pack(lang, source, int(block[a]), way, number[a:b] % width, n[a:b]) for a, b in zip(cuts, cuts[1:])])
 
 
 def _added(packed: DataFrame, *more: str) -> DataFrame:

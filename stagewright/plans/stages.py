@@ -97,7 +97,7 @@ def _ingest_one(
     df = drop_columns(df, *spec.get("drop_columns", ()))
     df = df.withColumnsRenamed(dict(spec.get("rename", {})))
     name, stamped = spec["name"], stamp_load_date(df, load_date, date_column)
-    rows = stage(stamped, staging_root, name, overwrite, date_column)
+    rows = stage(stamped, staging_root, name, overwrite, date_column, dates=[load_date])
     if show_rows:
         staged = read_staged(spark, staging_root, name, load_date, column=date_column)
         _show(staged, show_rows)

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from stagewright import LOAD_DATE
+from stagewright.record import read_record
+from stagewright.schemas import as_rows
 
 Schema = T.StructType | str
 
@@ -72,11 +75,27 @@ def read_staged(
 ) -> DataFrame:
     """A staged source; the date column comes back last, as a date.
 
-    With ``load_date`` only that day's folder is listed and read, however many days are kept; it
-    is an error if nothing was staged for the day.
+    Days of different schemas come together in the one that holds them all: a field that a day
+    did not have is null, and values are cast to the wider type. With ``load_date`` only that day's
+    folder is listed and read, however many days are kept; it is an error if nothing was staged for
+    the day, and a day that was staged as empty gives no rows. A given ``schema`` is taken as it is.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
     path = staging_path(root, source)
-    if load_date is None:
-        return reader.parquet(path)
-    return reader.option("basePath", path).parquet(f"{path}/{column}={load_date.isoformat()}")
+    record = read_record(spark, path) if schema is None else None
+    day = None if load_date is None else f"{column}={load_date.isoformat()}"
+    if record is None or (day is not None and day not in record.days):
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        if day is None:
+            return reader.parquet(path)
+        return reader.option("basePath", path).parquet(f"{path}/{day}")
+    days = record.days if day is None else {day: record.days[day]}
+    whole = record.schema()
+    used = sorted({facts["schema"] for facts in days.values()})
+    if day is None and len(used) == 1:
+        return as_rows(spark.read.schema(record.schemas[used[0]]).parquet(path), whole, column)
+    parts = []
+    for number in used:
+        own = [f"{path}/{name}" for name, facts in days.items() if facts["schema"] == number]
+        part = spark.read.schema(record.schemas[number]).option("basePath", path).parquet(*own)
+        parts.append(as_rows(part, whole, column))
+    return reduce(DataFrame.unionByName, parts)

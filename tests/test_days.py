@@ -1,0 +1,178 @@
+"""Days that are staged again, as empty, or under another schema; runs that are lost on the way."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from stagewright import folders, plans
+from stagewright.record import read_record
+from stagewright.schemas import SchemaClash, wider
+from stagewright.sinks import stage, staging
+from stagewright.sources import read_staged
+
+DAYS = [dt.date(2021, 7, 24), dt.date(2021, 7, 25), dt.date(2021, 7, 26)]
+
+
+def batch(spark, day, rows, schema):
+    return spark.createDataFrame(rows, schema).withColumn("load_date", F.lit(day))
+
+
+def put(spark, root, day, rows, schema="id int, a string", **options):
+    options = {"overwrite": "dynamic", "dates": [day], **options}
+    return stage(batch(spark, day, rows, schema), root, "s", **options)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_an_empty_rerun_replaces_the_day(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, "x"), (2, "y")])
+    put(spark, root, DAYS[1], [(3, "z")])
+    assert put(spark, root, DAYS[0], []) == 0
+    assert rows_of(read_staged(spark, root, "s")) == [(3, "z", DAYS[1])]
+    empty = read_staged(spark, root, "s", DAYS[0])
+    assert empty.columns == ["id", "a", "load_date"] and empty.count() == 0
+    # Readers without the record see the same.
+    assert rows_of(spark.read.parquet(f"{root}/s")) == [(3, "z", DAYS[1])]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_staged(spark, root, "s", DAYS[2])
+    assert put(spark, root, DAYS[0], [(9, "w")]) == 1
+    assert rows_of(read_staged(spark, root, "s", DAYS[0])) == [(9, "w", DAYS[0])]
+
+
+def test_static_staging_leaves_only_what_was_delivered(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, "x")])
+    put(spark, root, DAYS[1], [(2, "y")], overwrite="static")
+    assert rows_of(read_staged(spark, root, "s")) == [(2, "y", DAYS[1])]
+    assert put(spark, root, DAYS[2], [], overwrite="static") == 0
+    assert read_staged(spark, root, "s").count() == 0
+    assert list(read_record(spark, f"{root}/s").days) == [f"load_date={DAYS[2]}"]
+
+
+def test_the_record_tells_rows_files_and_schema(spark, tmp_path):
+    root = str(tmp_path)
+    both = batch(spark, DAYS[0], [(1, "x"), (2, "y")], "id int, a string").unionAll(batch(spark, DAYS[1], [(3, "z")], "id int, a string"))
+    assert stage(both.unionAll(both.limit(1).withColumn("load_date", F.lit(None).cast("date"))), root, "s") == 4
+    record = read_record(spark, f"{root}/s")
+    assert {n: d["rows"] for n, d in record.days.items()} == {
+        "load_date=2021-07-24": 2, "load_date=2021-07-25": 1, "load_date=__HIVE_DEFAULT_PARTITION__": 1
+    }
+    assert all(d["files"] >= 1 and d["bytes"] > 0 for d in record.days.values())
+    assert len({d["run"] for d in record.days.values()}) == 1
+    assert [f.simpleString() for f in record.schema()] == ["id:int", "a:string"]
+    assert read_staged(spark, root, "s").where("load_date is null").count() == 1
+    for _ in range(6):
+        put(spark, root, DAYS[1], [(4, "q")])
+    assert len(folders.names(spark, f"{root}/s/_record")) <= 5
+    assert not [n for n in folders.names(spark, f"{root}/s") if n.startswith("_run")]
+
+
+def test_a_failed_run_leaves_the_old_day(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, "x")])
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("int").alias("id"), F.lit("a").alias("a"), F.lit(DAYS[0]).alias("load_date"))
+    with pytest.raises(Exception, match="broken"):
+        stage(broken, root, "s", "dynamic", dates=[DAYS[0]])
+    assert rows_of(read_staged(spark, root, "s")) == [(1, "x", DAYS[0])]
+
+
+@pytest.mark.parametrize("moves", [0, 1])
+def test_a_run_lost_while_days_are_moved_is_completed(spark, tmp_path, monkeypatch, moves):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, "x")])
+    put(spark, root, DAYS[1], [(2, "y")])
+    real, done = folders.move, []
+
+    def move(*args):
+        if len(done) == moves:
+            raise KeyboardInterrupt
+        done.append(real(*args))
+
+    two = batch(spark, DAYS[0], [(5, "n")], "id int, a string").unionAll(batch(spark, DAYS[1], [(6, "n")], "id int, a string"))
+    monkeypatch.setattr(staging.folders, "move", move)
+    with pytest.raises(KeyboardInterrupt):
+        stage(two, root, "s", "dynamic")
+    monkeypatch.setattr(staging.folders, "move", real)
+    put(spark, root, DAYS[2], [(7, "m")])
+    assert rows_of(read_staged(spark, root, "s")) == [(5, "n", DAYS[0]), (6, "n", DAYS[1]), (7, "m", DAYS[2])]
+    assert read_record(spark, f"{root}/s").days["load_date=2021-07-25"]["rows"] == 1
+
+
+def test_a_half_written_record_is_passed_over(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, "x")])
+    folders.write_text(spark, f"{root}/s/_record/000000002.json", '{"schemas": [')
+    assert read_record(spark, f"{root}/s").number == 1
+    put(spark, root, DAYS[1], [(2, "y")])
+    assert read_record(spark, f"{root}/s").number == 3
+    assert read_staged(spark, root, "s").count() == 2
+
+
+def test_fields_that_come_and_types_that_widen(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, 2, (1,))], "id int, n int, deep struct<p:int>")
+    put(spark, root, DAYS[1], [(2**40, 2.5, None, "b")], "ID bigint, n double, deep struct<p:int,q:string>, b string")
+    put(spark, root, DAYS[2], [("A7", None, (3.0, "q"))], "id string, n float, deep struct<p:double,q:string>")
+    df = read_staged(spark, root, "s")
+    assert df.dtypes == [("id", "string"), ("n", "double"), ("deep", "struct<p:double,q:string>"), ("b", "string"), ("load_date", "date")]
+    assert [tuple(r) for r in df.orderBy("load_date").collect()] == [
+        ("1", 2.0, (1.0, None), None, DAYS[0]),
+        (str(2**40), 2.5, None, "b", DAYS[1]),
+        ("A7", None, (3.0, "q"), None, DAYS[2]),
+    ]
+    one = read_staged(spark, root, "s", DAYS[0])
+    assert one.dtypes == df.dtypes and one.first().id == "1"
+    # A day's filter still reads its folder only.
+    plan = df.where(F.col("load_date") == DAYS[1])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") <= 3 and len(df.where(F.col("load_date") == DAYS[1]).inputFiles()) >= 1
+    # A day that is staged again no longer holds the others to its type.
+    put(spark, root, DAYS[2], [(7, 1.0, None)], "id int, n float, deep struct<p:int>")
+    assert dict(read_staged(spark, root, "s").dtypes)["id"] == "bigint"
+
+
+def test_a_clash_is_refused_before_anything_is_written(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, DAYS[0], [(1, (1,))], "id int, a struct<p:int>")
+    with pytest.raises(SchemaClash, match="source s: field a is struct<p:int> on some days and string on others"):
+        put(spark, root, DAYS[1], [(1, "x")])
+    assert folders.names(spark, f"{root}/s") == ["_record", "load_date=2021-07-24"]
+    # The one day that clashes may be replaced.
+    put(spark, root, DAYS[0], [(1, "x")])
+    assert rows_of(read_staged(spark, root, "s")) == [(1, "x", DAYS[0])]
+
+
+@pytest.mark.parametrize(
+    ("a", "b", "want"),
+    [
+        ("tinyint", "int", "int"), ("bigint", "float", "double"), ("int", "string", "string"), ("boolean", "int", "string"),
+        ("decimal(10,2)", "int", "decimal(12,2)"), ("decimal(38,2)", "bigint", "decimal(38,2)"), ("decimal(38,0)", "decimal(5,5)", "double"),
+        ("decimal(5,1)", "double", "double"), ("date", "timestamp", "timestamp"), ("date", "string", "string"),
+        ("array<int>", "array<bigint>", "array<bigint>"), ("map<string,int>", "map<string,string>", "map<string,string>"),
+    ],
+)
+def test_wider_types(a, b, want):
+    kind = lambda text: T.StructType.fromDDL(f"x {text}")[0].dataType
+    assert wider(kind(a), kind(b)).simpleString() == want == wider(kind(b), kind(a)).simpleString()
+
+
+def test_ingest_replaces_a_day_that_comes_back_empty(spark, tmp_path):
+    drops, root = tmp_path / "drops", str(tmp_path / "staging")
+    drops.mkdir()
+    source = {"name": "docs", "kind": "documents", "path": str(drops)}
+    for day, rows in ((DAYS[0], [{"id": 1, "a": "x"}]), (DAYS[1], [{"id": 2, "a": "y", "b": 1}])):
+        (drops / "d.json").write_text("\n".join(map(json.dumps, rows)))
+        done = plans.ingest(spark, [source], root, day, overwrite="dynamic")
+        assert done[0]["rows"] == len(rows)
+    assert rows_of(read_staged(spark, root, "docs").select("id", "b")) == [(1, None), (2, 1)]
+    (drops / "d.json").write_text("")
+    assert plans.ingest(spark, [source], root, DAYS[0], overwrite="dynamic")[0]["rows"] == 0
+    assert rows_of(read_staged(spark, root, "docs").select("id")) == [(2,)]
+    assert read_staged(spark, root, "docs", DAYS[0]).count() == 0
+    (drops / "d.json").write_text(json.dumps({"id": 3, "a": {"deep": 1}}))
+    with pytest.raises(plans.LoadError, match="field a is string on some days and struct<deep:bigint> on others"):
+        plans.ingest(spark, [source], root, DAYS[0], overwrite="dynamic")

@@ -46,6 +46,21 @@ def stage_dynamic_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stage_two_days(spark, sf_dir, "dynamic")
 
 
+@query("""
+SELECT o_orderkey, o_totalprice, DATE '2021-07-25' AS load_date
+FROM orders WHERE o_orderdate >= DATE '1998-01-01'""")
+def stage_empty_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders staged on two days, then the first of them again without rows: the other day stays."""
+    root = scratch_path(spark, "stage")
+    orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    recent = F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1))
+    for day, part in ((24, ~recent), (25, recent), (24, F.lit(False))):
+        date = dt.date(2021, 7, day)
+        batch = stamp_load_date(orders.where(part), date).drop("o_orderdate")
+        stage(batch, root, "orders", "dynamic", dates=[date])
+    return read_staged(spark, root, "orders")
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
 def warehouse_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written twice holds the second write."""

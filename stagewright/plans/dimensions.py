@@ -40,16 +40,19 @@ def member_dim(
     key: str = "fresh",
     truncate: bool = False,
     key_columns: Sequence[str] = MEMBER_KEY,
+    registry: str | None = None,
 ) -> DataFrame:
     """Registrations with their address: 13 columns, for every staged date.
 
-    A stable key depends on ``key_columns`` only, so rows of one member on several days share it.
+    A stable key, or one from a registry's folder, depends on ``key_columns`` only, so rows of one
+    member on several days share it: what is unique then is the key with the load date, as long as
+    the member has one registration a day and one address.
     """
     address = addresses.select("consumer_id", "street", "city", "state")
     registration = _registration(members, truncate)
     rows = distinct_join(registration, address, "member_id", "consumer_id", truncate)
     order = [name for name in rows.columns if name != LOAD_DATE]
-    return add_key(rows.select(*order, LOAD_DATE), "member_key", key, key_columns)
+    return add_key(rows.select(*order, LOAD_DATE), "member_key", key, key_columns, registry)
 
 
 def member_dim_daily(
@@ -58,11 +61,12 @@ def member_dim_daily(
     key: str = "fresh",
     truncate: bool = False,
     key_columns: Sequence[str] = MEMBER_KEY,
+    registry: str | None = None,
 ) -> DataFrame:
     """Registrations of one load date, by default today, without addresses: 10 columns."""
     today = on_date(members, LOAD_DATE, load_date)
     rows = distinct_rows(_registration(today, truncate))
-    return add_key(rows, "member_key", key, key_columns)
+    return add_key(rows, "member_key", key, key_columns, registry)
 
 
 def child_dim(
@@ -70,8 +74,9 @@ def child_dim(
     load_date: dt.date,
     key: str = "fresh",
     key_columns: Sequence[str] = CHILD_KEY,
+    registry: str | None = None,
 ) -> DataFrame:
     """Children of the members of one load date: 7 columns."""
     children = present(on_date(members, LOAD_DATE, load_date), "child_id")
     columns = ["member_id", "country_code", "child_id", "child_number", "child_gender", LOAD_DATE]
-    return add_key(distinct_rows(children, columns), "child_key", key, key_columns)
+    return add_key(distinct_rows(children, columns), "child_key", key, key_columns, registry)

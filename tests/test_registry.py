@@ -1,0 +1,93 @@
+"""Lasting keys: dense, the same from load to load, and whole when a load is lost."""
+
+import pytest
+from pyspark.sql import functions as F
+from stagewright import folders, operators as ops, registry as registries
+from stagewright.registry import KeyRegistry, RegistryBusy
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "a string, b int, x int").repartition(5)
+
+
+def keys(df):
+    return {(r.a, r.b): r.k for r in df.collect()}
+
+
+def test_known_keys_stay_and_new_ones_follow(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    first = [("m", i, i) for i in range(50)] + [("m", 1, 9), (None, 1, 0), ("m", None, 0), (None, None, 0)]
+    one = ops.add_key(table(spark, first), "k", "registry", ["a", "b"], path)
+    assert one.columns == ["k", "a", "b", "x"] and one.count() == 54
+    got = keys(one)
+    assert sorted(got.values()) == list(range(1, 54))
+    again = ops.add_key(table(spark, first[::-1]), "k", "registry", ["a", "b"], path)
+    assert keys(again) == got
+    more = ops.add_key(table(spark, [("n", i, 0) for i in range(7)] + first[:3]), "k", "registry", ["a", "b"], path)
+    assert sorted(keys(more)[("n", i)] for i in range(7)) == list(range(54, 61))
+    assert {k: v for k, v in keys(more).items() if k[0] == "m"} == {("m", i): got[("m", i)] for i in range(3)}
+    assert keys(one) == got
+    assert [n[:6] for n in folders.names(spark, path)] == ["_claim", "batch-", "batch-"]
+
+
+def test_nothing_to_number(spark, tmp_path):
+    path = str(tmp_path / "keys")
+    none = ops.add_key(table(spark, []), "k", "registry", ["a"], path)
+    assert none.columns == ["k", "a", "b", "x"] and none.count() == 0
+    assert KeyRegistry.of(path, ["a"]).grow(table(spark, [("m", 1, 1)])) == 1
+    assert ops.add_key(table(spark, []), "k", "registry", ["a"], path).count() == 0
+
+
+def test_a_load_that_is_lost_leaves_the_registry_whole(spark, tmp_path, monkeypatch):
+    registry = KeyRegistry.of(str(tmp_path / "keys"), ["a"])
+    registry.grow(table(spark, [("m", 1, 1)]))
+    broken = spark.range(3).select(F.raise_error(F.lit("broken")).cast("string").alias("a"))
+    with pytest.raises(Exception, match="broken"):
+        registry.grow(broken)
+    real = folders.move
+    monkeypatch.setattr(registries.folders, "move", lambda *args: (_ for _ in ()).throw(KeyboardInterrupt))
+    with pytest.raises(KeyboardInterrupt):
+        registry.grow(table(spark, [("n", 1, 1), ("o", 1, 1)]))
+    monkeypatch.setattr(registries.folders, "move", real)
+    # The claim was made, so its keys hold.
+    assert registry.grow(table(spark, [("n", 1, 1), ("p", 1, 1)])) == 1
+    found = {r.a: r["__key"] for r in registry.known(table(spark, [])).collect()}
+    assert found["m"] == 1 and {found["n"], found["o"]} == {2, 3} and found["p"] == 4
+
+
+def test_two_loads_at_a_time(spark, tmp_path, monkeypatch):
+    registry = KeyRegistry.of(str(tmp_path / "keys"), ["a"])
+    registry.grow(table(spark, [("m", 1, 1)]))
+    real = folders.write_text
+
+    def other_first(session, path, text):
+        monkeypatch.setattr(registries.folders, "write_text", real)
+        registry.grow(table(spark, [("n", 1, 1)]))
+        real(session, path, text)
+
+    monkeypatch.setattr(registries.folders, "write_text", other_first)
+    with pytest.raises(RegistryBusy):
+        registry.grow(table(spark, [("o", 1, 1)]))
+    assert registry.grow(table(spark, [("o", 1, 1), ("n", 1, 1)])) == 1
+    assert registry.known(table(spark, [])).count() == 3
+
+
+def test_other_types_of_a_key_are_refused(spark, tmp_path):
+    registry = KeyRegistry.of(str(tmp_path / "keys"), ["a"])
+    registry.grow(table(spark, [("1", 1, 1)]))
+    with pytest.raises(ValueError, match="a:string"):
+        registry.grow(spark.createDataFrame([(1,)], "a int"))
+    with pytest.raises(ValueError, match="folder"):
+        ops.add_key(table(spark, []), "k", "registry", ["a"])
+
+
+def test_no_single_task_numbers_the_keys(spark, tmp_path):
+    registry = KeyRegistry.of(str(tmp_path / "keys"), ["id"])
+    many = spark.range(200_000)
+    assert registry.grow(many) == 200_000
+    assert registry.grow(many) == 0
+    known = registry.known(many)
+    figures = known.agg(F.min("__key"), F.max("__key"), F.count_distinct(F.col("__key"))).first()
+    assert tuple(figures) == (1, 200_000, 200_000)
+    plan = registry.keyed(many, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "SinglePartition" not in plan

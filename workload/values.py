@@ -9,9 +9,10 @@ from stagewright.functions import item_count as count_items
 from stagewright.functions import null_marker as marker
 from stagewright.functions import safe_cast as cast
 from stagewright.functions import to_null
-from stagewright.operators import project, unique_values, with_time_parts
+from stagewright.operators import add_key, project, unique_values, with_time_parts
 from stagewright.plans import array_profile as profile_arrays
 from stagewright.plans import company_tiers, member_dim, txn_fact
+from stagewright.session import scratch_path
 from workload import inputs
 from workload.registry import query
 
@@ -146,7 +147,6 @@ def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         inputs.receipts(spark, sf_dir),
         project(inputs.table(spark, sf_dir, "customer"), {"member_id": "c_custkey"}),
         inputs.LOAD_PERIOD,
-        one_pass=True,
     )
     return _key_counts(fact, "txn_key")
 
@@ -162,6 +162,39 @@ def surrogate_key_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _key_counts(dim, "member_key")
 
 
+_FIRST_MEMBERS = "o_orderdate < DATE '1995-03-01'"
+
+
+@query(f"""
+WITH first AS (SELECT count(DISTINCT o_custkey) AS n FROM orders WHERE {_FIRST_MEMBERS}),
+every AS (SELECT count(DISTINCT o_custkey) AS n FROM orders)
+SELECT 'first' AS load, count(*) AS n_rows, (SELECT n FROM first) AS n_keys, CAST(1 AS BIGINT) AS least,
+       (SELECT n FROM first) AS most, CAST(0 AS BIGINT) AS changed
+FROM orders WHERE {_FIRST_MEMBERS}
+UNION ALL
+SELECT 'second', count(*), (SELECT n FROM every), CAST(1 AS BIGINT), (SELECT n FROM every), CAST(0 AS BIGINT)
+FROM orders""")
+def surrogate_key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a registry in two loads: dense, and those of the first load's members as before."""
+    path = scratch_path(spark, "registry")
+    orders = inputs.table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    loads = {"first": orders.where(_FIRST_MEMBERS), "second": orders}
+    keyed = {name: add_key(rows, "member_key", "registry", ["o_custkey"], path) for name, rows in loads.items()}
+    before = keyed["first"].select("o_custkey", F.col("member_key").alias("before")).distinct()
+    parts = [
+        rows.join(before, "o_custkey", "left").agg(
+            F.lit(name).alias("load"),
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct(F.col("member_key")).alias("n_keys"),
+            F.min("member_key").alias("least"),
+            F.max("member_key").alias("most"),
+            F.count_if(F.col("before") != F.col("member_key")).alias("changed"),
+        )
+        for name, rows in keyed.items()
+    ]
+    return parts[0].unionAll(parts[1])
+
+
 def _key_counts(df: DataFrame, key: str) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col(key)).alias("n_keys")

@@ -6,8 +6,9 @@ Sources and targets are plain mappings, so they can come from any configuration
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
@@ -19,6 +20,7 @@ from stagewright.operators import (
     flatten_struct,
     stamp_load_date,
 )
+from stagewright.plans.notes import Notes, as_list
 from stagewright.sinks import stage, write_table
 from stagewright.sources import (
     dated_path,
@@ -32,6 +34,8 @@ from stagewright.sources.warehouse import Warehouse
 
 Spec = Mapping[str, object]
 
+_ANALYSIS = threading.Lock()
+
 
 class LoadError(RuntimeError):
     """Some sources or targets failed; ``results`` tells what became of each."""
@@ -160,13 +164,6 @@ def _differ(what: str, names: Sequence[str]) -> None:
         raise ValueError(f"{what} share a name: {', '.join(twice)}")
 
 
-def as_list(names: str | Sequence[str] | None) -> list[str]:
-    """One name or several."""
-    if names is None:
-        return []
-    return [names] if isinstance(names, str) else list(names)
-
-
 @contextmanager
 def _ansi(spark: SparkSession, enabled: bool | None) -> Iterator[None]:
     if enabled is None:
@@ -194,15 +191,15 @@ def sql_load(
     there for this query only, and views of the caller with the same names come back.
     """
     args = {} if load_date is None else {"load_date": load_date}
-    with _ansi(spark, ansi), _views(spark, views):
+    # Settings and views are the session's, which targets that are loaded at one time share.
+    with _ANALYSIS, _ansi(spark, ansi), _views(spark, views):
         return spark.sql(query, args=args)
 
 
 @contextmanager
 def _views(spark: SparkSession, views: Mapping[str, DataFrame]) -> Iterator[None]:
     """Temp views that last for the analysis of a query; its plan keeps what they stand for."""
-    own = {t.name.lower() for t in spark.catalog.listTables() if t.isTemporary}
-    before = {name: spark.table(name) for name in views if name.lower() in own}
+    before = {name: spark.table(name) for name in views if _is_view(spark, name)}
     try:
         for name, df in views.items():
             df.createOrReplaceTempView(name)
@@ -214,6 +211,11 @@ def _views(spark: SparkSession, views: Mapping[str, DataFrame]) -> Iterator[None
             df.createOrReplaceTempView(name)
 
 
+def _is_view(spark: SparkSession, name: str) -> bool:
+    """Whether the name is a temp view now; no other table is asked for."""
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
+
+
 def _read_target(spark: SparkSession, spec: Spec, warehouse: Warehouse) -> DataFrame:
     split, partitions = spec.get("split_column"), spec.get("partitions", 2)
     return read_table(spark, spec["table"], warehouse, split, partitions)
@@ -260,17 +262,25 @@ def load(
     load_date: dt.date,
     show_rows: int = 0,
     date_column: str = LOAD_DATE,
+    parallel: int = 1,
+    resume: str | None = None,
 ) -> list[dict]:
-    """Build and overwrite every target in the order given.
+    """Build and overwrite every target, each after the targets that it reads.
 
     A target reads staged ``sources`` of all dates, ``day_sources`` of the load date only (one name
     or a list each), earlier ``targets`` and other warehouse ``tables`` ({view: table}), and is
     built by ``build(views, load_date)`` or by the SQL text in ``query``. A target in a JDBC
     warehouse that others read should name its ``split_column`` and ``partitions``, or it is read
     back by one task; an entry of ``tables`` may be a mapping with ``table`` and the same two. A key
-    named in ``unique`` is checked before the old table is replaced. ``show_rows`` prints
-    so many rows of each table. When a target fails, those that read it are left alone and the
-    others still run; ``LoadError`` names them at the end.
+    named in ``unique``, one column or several, is checked before the old table is replaced.
+    ``show_rows`` prints so many rows of each table. When a target fails, those that read it are left
+    alone and the others still run; ``LoadError`` names them at the end.
+
+    ``parallel`` targets that do not wait for one another are loaded at a time; one at a time means
+    in the order given. ``resume`` names a folder with a note of each finished target of a load date.
+    A target is not loaded again for a date as long as its text, the staged days it read and the
+    loads of the targets it read are those of its note; its result then says ``resumed``. What
+    ``build`` does and other ``tables`` hold is not compared: remove the date's folder to start anew.
     """
     _differ("targets", [spec["name"] for spec in targets])
     earlier: dict[str, Spec] = {}
@@ -282,22 +292,48 @@ def load(
         if any(spec["table"] == other["table"] for other in earlier.values()):
             raise ValueError(f"target {name} would overwrite the table of another")
         earlier[name] = spec
+    notes = None if resume is None else Notes(spark, resume, staging_root, load_date, date_column)
 
-    results: list[dict] = []
-    done: set[str] = set()
-    for spec in targets:
-        blocked = [name for name in as_list(spec.get("targets")) if name not in done]
-        if blocked:
-            status = f"skipped: {', '.join(blocked)} not loaded"
-            results.append({"name": spec["name"], "status": status, "rows": None})
-            continue
-        result = _attempt(
-            spec["name"],
-            lambda spec=spec: _load_one(
+    def one(spec: Spec, runs: Mapping[str, str]) -> dict:
+        def job() -> int:
+            return _load_one(
                 spark, spec, earlier, staging_root, warehouse, load_date, show_rows, date_column
-            ),
-        )
+            )
+
+        if notes is None:
+            return _attempt(spec["name"], job)
+        there = warehouse["kind"] != "spark" or spark.catalog.tableExists(spec["table"])
+        read = notes.inputs(spec, runs)
+        note = notes.of(spec["name"])
+        if there and note is not None and note["inputs"] == read:
+            return {"name": spec["name"], "status": "done", "rows": note["rows"], "run": note["run"], "resumed": True}
+        notes.forget(spec["name"])
+        result = _attempt(spec["name"], job)
         if result["status"] == "done":
-            done.add(spec["name"])
-        results.append(result)
-    return _all_done(results)
+            result["run"] = notes.put(spec["name"], result["rows"], read)
+        return result
+
+    results: dict[str, dict] = {}
+    with ThreadPoolExecutor(parallel) as pool:
+        running: dict[Future, str] = {}
+        waiting = list(targets)
+        while waiting or running:
+            for spec in list(waiting):
+                reads = as_list(spec.get("targets"))
+                if any(name not in results for name in reads):
+                    continue
+                blocked = [name for name in reads if results[name]["status"] != "done"]
+                if blocked:
+                    status = f"skipped: {', '.join(blocked)} not loaded"
+                    results[spec["name"]] = {"name": spec["name"], "status": status, "rows": None}
+                elif len(running) < parallel:
+                    runs = {name: results[name].get("run") for name in reads}
+                    job = pool.submit(inheritable_thread_target(spark)(one), spec, runs)
+                    running[job] = spec["name"]
+                else:
+                    continue
+                waiting.remove(spec)
+            if running:
+                for job in wait(running, return_when=FIRST_COMPLETED).done:
+                    results[running.pop(job)] = job.result()
+    return _all_done([results[spec["name"]] for spec in targets])

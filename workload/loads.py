@@ -333,6 +333,6 @@ def load_all_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
         },
     ]
     warehouse = {"kind": "spark", "path": tables}
-    plans.load(spark, targets, staging, warehouse, inputs.EXTRACT_DAY)
+    plans.load(spark, targets, staging, warehouse, inputs.EXTRACT_DAY, parallel=3)
     loaded = {spec["name"]: spark.table(spec["table"]) for spec in targets}
     return _contents(loaded, _LOADED)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagewright.operators import stamp_load_date
 from stagewright.session import scratch_path
 from stagewright.sinks import stage, write_table
+from stagewright.sinks.warehouse import definition
 from stagewright.sources import read_staged, read_table
 from workload import inputs
 from workload.registry import query
@@ -73,6 +74,27 @@ def warehouse_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table, warehouse)
 
 
+@query("""
+SELECT o_orderkey, o_totalprice, o_orderstatus, 'orc' AS provider, 'o_orderstatus' AS partitioned_by
+FROM orders WHERE o_orderdate >= DATE '1998-01-01'""")
+def warehouse_definition_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An external, partitioned ORC table of older orders whose rows the later orders replace."""
+    path = scratch_path(spark, "warehouse")
+    table = f"orders_{path.rsplit('-', 1)[1]}"
+    orders = inputs.table(spark, sf_dir, "orders")
+    recent = F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1))
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    old = orders.where(~recent).select(*columns)
+    old.write.format("orc").partitionBy("o_orderstatus").option("path", path).saveAsTable(table)
+    write_table(orders.where(recent).select(*columns), table, {"kind": "spark"}, unique="o_orderkey")
+    now = definition(spark, table)
+    return read_table(spark, table, {"kind": "spark"}).select(
+        *columns,
+        F.lit(now["provider"]).alias("provider"),
+        F.lit(",".join(now["partition_columns"])).alias("partitioned_by"),
+    )
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def coalesced_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written as a set number of files."""

@@ -12,7 +12,8 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from stagewright import LOAD_DATE
 from stagewright.operators import (
@@ -25,11 +26,15 @@ from stagewright.sinks import stage, write_table
 from stagewright.sources import (
     dated_path,
     read_delimited,
+    read_delimited_checked,
     read_documents,
     read_jdbc,
     read_staged,
     read_table,
+    rejected_rows,
+    sound_rows,
 )
+from stagewright.sources.files import BAD_TEXT
 from stagewright.sources.warehouse import Warehouse
 
 Spec = Mapping[str, object]
@@ -62,6 +67,11 @@ def _read_source(spark: SparkSession, spec: Spec, load_date: dt.date) -> DataFra
     path = spec.get("path")
     if "drop" in spec:
         path = dated_path(path, spec["drop"], load_date, spec.get("country"))
+    if spec.get("rejects"):
+        if kind != "delimited" or "schema" in spec or spec.get("format", "csv") != "csv":
+            raise ValueError(f"source {spec['name']}: rejects are for delimited files without a schema")
+        args = (spec.get("delimiter", "|"), spec.get("header", True), spec.get("columns"))
+        return read_delimited_checked(spark, path, *args, **options)
     if kind == "delimited":
         return read_delimited(
             spark,
@@ -94,23 +104,43 @@ def _ingest_one(
     overwrite: str,
     show_rows: int,
     date_column: str,
-) -> int:
+) -> dict:
+    name, checked = spec["name"], bool(spec.get("rejects"))
     df = _read_source(spark, spec, load_date)
+    if checked:
+        source, seen = df, Observation()
+        counts = F.count(F.lit(1)).alias("lines"), F.count(F.col(BAD_TEXT)).alias("bad")
+        df = sound_rows(source.observe(seen, *counts))
     for struct, fields in spec.get("flatten", {}).items():
         df = flatten_struct(df, struct, fields)
     df = drop_columns(df, *spec.get("drop_columns", ()))
     df = df.withColumnsRenamed(dict(spec.get("rename", {})))
-    name, stamped = spec["name"], stamp_load_date(df, load_date, date_column)
-    rows = stage(stamped, staging_root, name, overwrite, date_column, dates=[load_date])
+    place = (staging_root, name, overwrite, date_column)
+    rows = stage(stamp_load_date(df, load_date, date_column), *place, dates=[load_date])
+    result = {"rows": rows}
+    if checked:
+        bad = rejected_rows(source)
+        if not seen.get["bad"]:
+            # The files are read again only where there is something to reject.
+            bad = spark.createDataFrame([], bad.schema)
+        place = (staging_root, rejects_name(name), overwrite, date_column)
+        result["rejects"] = stage(stamp_load_date(bad, load_date, date_column), *place, dates=[load_date])
+        if seen.get["lines"] != rows + result["rejects"]:
+            raise RuntimeError(f"{seen.get['lines']} lines came, {rows} were staged and {result['rejects']} rejected")
     if show_rows:
         staged = read_staged(spark, staging_root, name, load_date, column=date_column)
         _show(staged, show_rows)
-    return rows
+    return result
+
 
+def rejects_name(source: str) -> str:
+    """The name under which a source's malformed lines are staged."""
+    return f"{source}_rejects"
 
-def _attempt(name: str, job: Callable[[], int]) -> dict:
+
+def _attempt(name: str, job: Callable[[], dict]) -> dict:
     try:
-        return {"name": name, "status": "done", "rows": job()}
+        return {"name": name, "status": "done", **job()}
     except Exception as error:  # reported with the other results
         return {"name": name, "status": f"failed: {error}", "rows": None}
 
@@ -137,6 +167,9 @@ def ingest(
     at a time, so that a small one need not leave the cluster idle. ``show_rows`` prints so many
     staged rows of each. Another ``date_column`` than the library's own suits loads given as SQL
     text. A source that fails does not stop the others; ``LoadError`` names it at the end.
+
+    A delimited source with ``rejects`` keeps lines of too few or too many fields out of its rows and
+    stages them beside it, with their file, as ``<name>_rejects``; the result counts them.
     """
     _differ("sources", [spec["name"] for spec in sources])
     if load_date is None:
@@ -295,10 +328,11 @@ def load(
     notes = None if resume is None else Notes(spark, resume, staging_root, load_date, date_column)
 
     def one(spec: Spec, runs: Mapping[str, str]) -> dict:
-        def job() -> int:
-            return _load_one(
+        def job() -> dict:
+            rows = _load_one(
                 spark, spec, earlier, staging_root, warehouse, load_date, show_rows, date_column
             )
+            return {"rows": rows}
 
         if notes is None:
             return _attempt(spec["name"], job)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewright import LOAD_DATE
@@ -37,6 +38,43 @@ def read_delimited(
     return df.toDF(*columns) if columns else df
 
 
+# Beside the columns of a checked read: a malformed line as it stands, and its file.
+BAD_TEXT, BAD_FILE = "__bad_text", "__bad_file"
+
+
+def read_delimited_checked(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    delimiter: str = "|",
+    header: bool = True,
+    columns: Sequence[str] | None = None,
+    **options: str,
+) -> DataFrame:
+    """Delimited text with every line that has too few or too many fields marked.
+
+    All columns are strings. ``BAD_TEXT`` holds a malformed line as it stands and is null for a
+    sound one, ``BAD_FILE`` names the file; ``sound_rows`` and ``rejected_rows`` part the two. The
+    first line tells the number of fields where ``columns`` does not, as in a plain read.
+    """
+    options = {**options, "delimiter": delimiter, "header": str(header).lower()}
+    names = list(columns) if columns else spark.read.options(**options).csv(path).columns
+    fields = [T.StructField(name, T.StringType()) for name in [*names, BAD_TEXT]]
+    reader = spark.read.schema(T.StructType(fields)).options(**options)
+    df = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_TEXT).csv(path)
+    return df.withColumn(BAD_FILE, F.col("_metadata.file_path"))
+
+
+def sound_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(F.col(BAD_TEXT).isNull()).drop(BAD_TEXT, BAD_FILE)
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """The malformed lines: ``file``, ``text`` and the ``fields`` that could be read of each."""
+    fields = [F.col(f"`{name}`") for name in checked.columns if name not in (BAD_TEXT, BAD_FILE)]
+    bad = checked.where(F.col(BAD_TEXT).isNotNull())
+    return bad.select(F.col(BAD_FILE).alias("file"), F.col(BAD_TEXT).alias("text"), F.array(*fields).alias("fields"))
+
+
 def read_documents(
     spark: SparkSession,
     path: str | None = None,

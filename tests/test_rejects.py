@@ -1,0 +1,55 @@
+"""Malformed lines of delimited files."""
+
+import datetime as dt
+
+import pytest
+from stagewright import plans
+from stagewright.plans import LoadError
+from stagewright.sources import read_staged
+
+DAY = dt.date(2021, 7, 25)
+LINES = ["1|x|y", "2|z", "3|a|b|extra", "", '4|"q|r"|s', "5||", "|||", '6|"open|t', "7|x|y"]
+
+
+def ingest(spark, tmp_path, **more):
+    source = {"name": "d", "kind": "delimited", "path": str(tmp_path / "in"), "rejects": True, "columns": ["id", "v", "w"], "header": False, **more}
+    return plans.ingest(spark, [source], str(tmp_path / "out"), DAY, overwrite="dynamic")[0]
+
+
+def test_lines_in_are_rows_and_rejects(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("\n".join(LINES) + "\n")
+    (tmp_path / "in" / "b.csv").write_text("8|only\n9|x|y\n")
+    done = ingest(spark, tmp_path)
+    assert (done["rows"], done["rejects"]) == (5, 5)
+    rows = read_staged(spark, str(tmp_path / "out"), "d")
+    assert rows.columns == ["id", "v", "w", "load_date"]
+    assert sorted(r.id for r in rows.collect()) == ["1", "4", "5", "7", "9"]
+    assert rows.where("id = '4'").first().v == "q|r"
+    bad = read_staged(spark, str(tmp_path / "out"), "d_rejects", DAY).collect()
+    assert {(r.file[-5:], r.text) for r in bad} == {
+        ("a.csv", "2|z"), ("a.csv", "3|a|b|extra"), ("a.csv", "|||"), ("a.csv", '6|"open|t'), ("b.csv", "8|only")
+    }
+    assert {r.text: r.fields for r in bad}["2|z"] == ["2", "z", None]
+    # A corrected drop leaves no rejects of the day.
+    (tmp_path / "in" / "a.csv").write_text("1|x|y\n")
+    (tmp_path / "in" / "b.csv").write_text("")
+    done = ingest(spark, tmp_path)
+    assert (done["rows"], done["rejects"]) == (1, 0)
+    assert read_staged(spark, str(tmp_path / "out"), "d_rejects").count() == 0
+
+
+def test_a_header_names_the_columns(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.csv").write_text("id|v\n1|x\n2\n3|y|z\n")
+    done = ingest(spark, tmp_path, header=True, columns=None, rename={"id": "key"})
+    assert (done["rows"], done["rejects"]) == (2, 4)
+    assert read_staged(spark, str(tmp_path / "out"), "d").columns == ["key", "v", "load_date"]
+
+
+def test_rejects_need_untyped_delimited_files(spark, tmp_path):
+    with pytest.raises(LoadError, match="without a schema"):
+        ingest(spark, tmp_path, schema="id int")
+    with pytest.raises(LoadError, match="without a schema"):
+        ingest(spark, tmp_path, kind="documents")

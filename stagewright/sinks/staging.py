@@ -89,7 +89,7 @@ def _counts(spark: SparkSession, run: str, filled: list[str], total: int) -> dic
     if len(filled) < 2:
         return dict.fromkeys(filled, total)
     day = F.element_at(F.split("path", "/"), -2)
-    files = spark.read.parquet(run).select(F.col("_metadata.file_path").alias("path"))
+    files = spark.read.schema("none int").parquet(run).select(F.col("_metadata.file_path").alias("path"))
     return {unquote(r.day): r["count"] for r in files.groupBy(day.alias("day")).count().collect()}
 
 

@@ -147,3 +147,25 @@ def test_stable_key_tells_nulls_apart(spark):
 def test_fresh_key_is_unique(spark):
     keys = spark.range(0, 1000, 1, 7).select(fn.fresh_key().alias("k"))
     assert keys.select(F.count_distinct("k")).first()[0] == 1000
+
+
+@pytest.mark.parametrize("to", ["tinyint", "smallint", "int", "bigint"])
+def test_typed_values_at_the_edges_of_a_range(spark, to):
+    bits = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}[to]
+    edges = [s * 2**bits + d for s in (-1, 1) for d in (-2, -1, 0, 1, 2)]
+    values = [(f"cast({e}{part} as {kind})", kind) for e in edges for kind, part in (("decimal(38,18)", ".999999999999999999"), ("decimal(20,0)", ""), ("double", ".5"), ("float", ""))]
+    values += [(f"cast({e} as bigint)", "bigint") for e in edges if -(2**63) < e < 2**63]
+    values += [(f"cast('{x}' as {kind})", kind) for x in ("NaN", "Infinity", "-Infinity", "-0.0") for kind in ("double", "float")]
+    for value, kind in values:
+        df = spark.sql(f"select {value} as v")
+        got = df.select(fn.safe_cast("v", to).alias("x"), fn.safe_cast(F.col("v"), to).alias("z"), F.col("v").try_cast(to).alias("y")).first()
+        assert got.x == got.y == got.z, (value, kind)
+
+
+@pytest.mark.parametrize("truncate", [False, True])
+@pytest.mark.parametrize("to", ["tinyint", "smallint", "int", "bigint"])
+def test_a_name_and_a_column_are_cast_alike(spark, to, truncate):
+    texts = ["12", " 12 ", "12.7", ".5", "-.5", ".", "", None, "x", "1e3", "+7", "-128", "128", "99999999999999999999", "007", "\x0012", "1 2", "-2147483649", "127.9", "1.2.3"]
+    for df in (spark.createDataFrame([(t,) for t in texts], "v string"), spark.sql("select null as v"), spark.sql("select date'2020-01-01' is null as v")):
+        got = df.select(fn.safe_cast("v", to, truncate).alias("x"), fn.safe_cast(F.col("v"), to, truncate).alias("y")).collect()
+        assert all(r.x == r.y for r in got)

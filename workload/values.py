@@ -33,21 +33,32 @@ SELECT p_partkey,
 FROM part""")
 def safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text to smallint, integer and bigint; text that does not fit becomes NULL."""
-    part = inputs.table(spark, sf_dir, "part")
-    price = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
-    return part.select(
+    values = inputs.table(spark, sf_dir, "part").selectExpr(
         "p_partkey",
-        cast(F.replace("p_brand", F.lit("Brand#"), F.lit("")), "smallint").alias("brand_number"),
+        "replace(p_brand, 'Brand#', '') as brand",
+        "p_type",
+        "cast(p_partkey * 7 as string) as small_text",
+        "cast(p_retailprice as decimal(12, 2)) as price",
+        "cast(cast(p_retailprice as decimal(12, 2)) as string) as price_text",
+        "p_size",
+        "concat(p_partkey, p_size) as long_text",
+        "p_retailprice",
+        "p_size > 25 as large",
+        "p_partkey * 40 as beyond",
+    )
+    return values.select(
+        "p_partkey",
+        cast("brand", "smallint").alias("brand_number"),
         cast("p_type", "int").alias("type_number"),
-        cast((F.col("p_partkey") * 7).cast("string"), "smallint").alias("small_key"),
-        cast(price, "int", truncate=True).alias("whole_price"),
-        cast(price, "int").alias("strict_price"),
+        cast("small_text", "smallint").alias("small_key"),
+        cast("price_text", "int", truncate=True).alias("whole_price"),
+        cast("price_text", "int").alias("strict_price"),
         cast("p_size", "string").alias("size_text"),
-        cast(F.concat("p_partkey", "p_size"), "bigint").alias("long_key"),
+        cast("long_text", "bigint").alias("long_key"),
         cast("p_retailprice", "int").alias("from_double"),
-        cast(F.col("p_retailprice").cast("decimal(12,2)"), "bigint").alias("from_decimal"),
-        cast(F.col("p_size") > 25, "int").alias("from_boolean"),
-        cast(F.col("p_partkey") * 40, "smallint").alias("from_bigint"),
+        cast("price", "bigint").alias("from_decimal"),
+        cast("large", "int").alias("from_boolean"),
+        cast("beyond", "smallint").alias("from_bigint"),
     )
 
 

@@ -16,6 +16,7 @@ from stagewright.operators.joins import (
     inner_join,
     left_join,
     left_join_dated,
+    left_join_heavy,
     left_join_keys,
     star_join,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "inner_join",
     "left_join",
     "left_join_dated",
+    "left_join_heavy",
     "left_join_keys",
     "on_date",
     "on_date_or_missing",

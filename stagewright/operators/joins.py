@@ -11,13 +11,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stagewright import LOAD_DATE
 from stagewright.functions import key_cast
 from stagewright.operators.filters import on_date_or_missing
+from stagewright.session import scratch_path
 
 # Groups that rows without a key are spread over; few enough to keep their sort cheap.
 NULL_BUCKETS = 1024
@@ -111,6 +112,82 @@ def left_join(
     return lhs.join(rhs, on, "left_outer").drop(*_HELPERS)
 
 
+# Keys that are looked for in one pass, and how many more the pass keeps count of.
+HEAVY_KEYS, _TRACKED = 2048, 8
+_PLACE, _ROWS_A, _ROWS_B, _A, _B = "__place", "__rows_a", "__rows_b", "__a", "__b"
+
+
+def _placed(df: DataFrame, key: str, label: str) -> tuple[DataFrame, DataFrame, int]:
+    """The frame written aside, its heavy keys with about how many rows each has, and a task's share.
+
+    The keys are counted while the rows are written, by a summary of bounded size. Every row gets its
+    place in the files, which spreads even rows that are alike and is the same when a task is run again.
+    """
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most = min(2 * tasks, HEAVY_KEYS)
+    path, seen = scratch_path(spark, label), Observation()
+    top = F.expr(f"approx_top_k(`{key}`, {most}, {_TRACKED * most})").alias("top")
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), top).write.parquet(path)
+    share = max(1, -(-seen.get["rows"] // tasks))
+    # What exceeds half a task's share: at most two keys a task.
+    heavy = [(r["item"], r["count"]) for r in seen.get["top"] or () if r["item"] is not None and 2 * r["count"] > share]
+    kind = df.schema[key].dataType
+    schema = T.StructType([T.StructField(_FOUND, kind), T.StructField(_TIMES, T.LongType())])
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(_PLACE)
+    back = spark.read.schema(df.schema).parquet(path).select("*", place)
+    return back, spark.createDataFrame(heavy, schema), share
+
+
+def left_join_heavy(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, truncate: bool = False
+) -> DataFrame:
+    """Left outer join of sides that are computed, where a key may be heavy on either side or both.
+
+    Each side is evaluated once and written aside, and its heavy keys are found on the way. The left
+    rows of a heavy key are dealt over A groups and its right rows over B, as many as
+    their rows fill tasks; left rows are copied to all B and right rows to all A, so each pair
+    meets once. A key that is heavy on the right has partners, so it takes an inner join, which
+    needs no copy to stay without one; the others take a left outer join with one group on the right.
+    Left rows without a key are spread by their place.
+    """
+    lhs, rhs, lk, rk = _keyed(left, right, left_key, right_key, truncate)
+    rhs = rhs.where(F.col(rk).isNotNull())
+    lhs, many_left, share_left = _placed(lhs, lk, "left")
+    rhs, many_right, share_right = _placed(rhs, rk, "right")
+
+    def groups(rows: str, share: int) -> Column:
+        # Of half a share each, since several groups may fall to one task.
+        return F.coalesce(F.ceil(F.col(rows) * 2 / share), F.lit(1)).cast("int")
+
+    # At most two keys a task and side, so this is small on any input.
+    heavy = F.broadcast(
+        many_left.withColumnRenamed(_TIMES, _ROWS_A)
+        .join(many_right.withColumnRenamed(_TIMES, _ROWS_B), _FOUND, "full_outer")
+        .select(_FOUND, groups(_ROWS_A, share_left).alias(_A), groups(_ROWS_B, share_right).alias(_B), F.col(_ROWS_B).isNotNull().alias(_ROWS_B))
+    )
+
+    def tagged(df: DataFrame, key: str) -> DataFrame:
+        known = df.join(heavy, F.col(key) == F.col(_FOUND), "left_outer")
+        return known.withColumns({_A: F.coalesce(_A, F.lit(1)), _B: F.coalesce(_B, F.lit(1)), _ROWS_B: F.coalesce(_ROWS_B, F.lit(False))})
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        mine = F.pmod(F.col(_PLACE), F.col(own)).cast("int")
+        all_others = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return df.withColumn("__mine", mine).withColumn("__theirs", all_others)
+
+    lefts, rights = dealt(tagged(lhs, lk), _A, _B), dealt(tagged(rhs, rk), _B, _A)
+    null_bucket = F.pmod(F.col(_PLACE), F.lit(NULL_BUCKETS)).cast("int")
+    group = F.when(F.col(lk).isNull(), null_bucket).otherwise(F.col("__mine"))
+    lefts = lefts.withColumns({"__a": group, "__b": F.col("__theirs")})
+    rights = rights.select(F.col(rk).alias(_FIXED), F.col("__theirs").alias("__ra"), F.col("__mine").alias("__rb"), F.col(_ROWS_B).alias("__rh"), *right.columns)
+    on = (F.col(lk) == F.col(_FIXED)) & (F.col("__a") == F.col("__ra")) & (F.col("__b") == F.col("__rb"))
+    columns = [*left.columns, *right.columns]
+    hot = lefts.where(F.col(_ROWS_B)).join(rights.where(F.col("__rh")), on, "inner").select(*columns)
+    rest = lefts.where(~F.col(_ROWS_B)).join(rights.where(~F.col("__rh")), on, "left_outer").select(*columns)
+    return hot.unionAll(rest)
+
+
 def left_join_keys(
     left: DataFrame,
     right: DataFrame,

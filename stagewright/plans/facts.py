@@ -11,8 +11,8 @@ from stagewright import LOAD_DATE
 from stagewright.functions import item_count, null_marker, safe_cast
 from stagewright.operators import (
     add_key,
-    left_join,
     left_join_dated,
+    left_join_heavy,
     left_join_keys,
     on_date,
     on_date_or_missing,
@@ -58,7 +58,8 @@ def txn_fact(
 
     Receipts staged by date are read twice, the day's in full and the key of all. ``one_pass``
     is for receipts that a query computes, where the second reading would compute them again: it
-    joins all of them, then filters. There a transaction with very many receipts stays in one task.
+    writes them aside once, at once, joins all of them, then filters; a transaction with very many
+    receipts is split there as well.
     """
     day = on_date(transactions, LOAD_DATE, load_date).select(*_TRANSACTION)
     receipt = receipts.select(
@@ -69,7 +70,7 @@ def txn_fact(
         F.col(LOAD_DATE).alias("receipt_date"),
     )
     if one_pass:
-        joined = left_join(day, receipt, "txn_id", "receipt_txn_id", truncate=truncate)
+        joined = left_join_heavy(day, receipt, "txn_id", "receipt_txn_id", truncate=truncate)
         matched, rest = on_date_or_missing(joined, "receipt_date", load_date), None
     else:
         matched, rest = left_join_dated(

@@ -62,6 +62,7 @@ def _read_source(spark: SparkSession, spec: Spec, load_date: dt.date) -> DataFra
             spec.get("partitions", 2),
             spec.get("bounds"),
             spec.get("even", False),
+            spec.get("split_within"),
             **options,
         )
     path = spec.get("path")

@@ -2,26 +2,30 @@
 
 A term is a word in lower case without punctuation around it, or the shape of a token: runs of upper
 case, lower case and digits become one letter each, other characters stay, and a token that repeats
-the one before it has a shape of its own. Every term has a sparse random index vector drawn from a
-hash of it; the vector of a term is the sum of the index vectors of the tokens around it, over all
-its occurrences in the sample, brought to length one. A document is the mean of its word vectors and
-the mean of its shape vectors, over all its tokens. A network with one hidden layer gives a logit,
-which is divided by a temperature fitted on a part of the sample that the network did not see, and
-shifted from the sample's share of the classes to that of all labelled rows that may be learned from.
+the one before it has a shape of its own. Terms share ``WORDS`` rows for words and ``SHAPES`` for
+shapes by a hash, so that every term has a row however many there are. Every row has a sparse random
+index vector; the vector of a row is the sum of the index vectors of the tokens around it, over all
+its occurrences in all documents, brought to length one. The sums are taken per task, as whole
+numbers, and added up by blocks of rows; labels play no part in them. A document is the mean
+of its word vectors and the mean of its shape vectors, over all its tokens. A network with one hidden
+layer, learned from a bounded sample of labelled rows, gives a logit, which is divided by a
+temperature fitted on a part of the sample that the network did not see, and shifted from the
+sample's share of the classes to that of all labelled rows that may be learned from.
 
 Null and empty texts are scored like a document without tokens. With no labelled rows of both
-classes every score is the share of class 1, or 0.5 if there is none.
+classes every score is the share of class 1, or 0.5 if there is none. Alike rows count in the vectors
+as often as they occur.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +36,14 @@ from stagewright.llm.training import calibrate, held_out, labelled_texts, sigmoi
 MODULUS, REMAINDER = 3, 1
 #: Rows of each class that are learned from at most, and the longest in characters if there are enough.
 PER, MOST_CHARS = 1500, 20000
-WORDS, SHAPES, LEAST = 20000, 1000, 3
+#: Rows that words and shapes share by a hash; more rows cost memory and shuffle, not passes.
+WORDS, SHAPES = 1 << 16, 1 << 12
 WIDTH, ONES, AROUND = 64, 6, 2
+#: Rows of a block of sums, and groups that the sums of a block are first added up in.
+BLOCK, SPREAD = 1 << 10, 64
 HIDDEN, ROUNDS, BATCH, RATE, DECAY = 32, 60, 128, 0.003, 1e-4
 #: Tokens that a worker remembers, and tokens whose surroundings are summed at a time.
-REMEMBERED, PIECE = 300_000, 1 << 15
+REMEMBERED, PIECE = 300_000, 1 << 14
 _EDGES = re.compile(r"^\W+|\W+$")
 _RUNS = re.compile(r"([^\W\d_]+)|(\d+)|(.)\3*", re.S)
 
@@ -58,22 +65,25 @@ def shape_of(token: str) -> str:
     return _RUNS.sub(_run_shape, token)
 
 
-def index_vector(term: str) -> np.ndarray:
-    """A few entries of +1 and -1, drawn from a hash of the term."""
-    rng = np.random.default_rng(xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass")))
-    out = np.zeros(WIDTH, np.float32)
-    places = rng.choice(WIDTH, ONES, replace=False)
-    out[places] = rng.choice((-1.0, 1.0), ONES)
+def number_of(term: str, rows: int) -> int:
+    """The row of a term, from 1; row 0 is for no term."""
+    return 1 + xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass")) % rows if term else 0
+
+
+def index_vectors(rows: int, seed: int) -> np.ndarray:
+    """A few entries of +1 and -1 for each row but the first, the same wherever they are drawn."""
+    rng = np.random.default_rng(seed)
+    out = np.zeros((rows, WIDTH), np.int8)
+    places = rng.random((rows, WIDTH)).argpartition(ONES, axis=1)[:, :ONES]
+    np.put_along_axis(out, places, rng.choice(np.array([-1, 1], np.int8), places.shape), axis=1)
+    out[0] = 0
     return out
 
 
 @dataclass
 class Model:
-    words: dict[str, int]
-    shapes: dict[str, int]
-    #: Vectors by term number; number 0 is any term that was not learned.
-    word_vectors: np.ndarray
-    shape_vectors: np.ndarray
+    #: Vectors by row: of words, and of shapes, those of repeated tokens after the others.
+    vectors: list[np.ndarray]
     mean: np.ndarray
     spread: np.ndarray
     layers: list[np.ndarray]
@@ -82,62 +92,136 @@ class Model:
 
 
 class Tokens:
-    """Word and shape numbers of texts, remembering tokens it has seen."""
+    """Word and shape rows of texts, remembering tokens it has seen."""
 
-    def __init__(self, words: dict[str, int], shapes: dict[str, int]):
-        self.words, self.shapes = words, shapes
+    def __init__(self):
         self.known: dict[str, int] = {}
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         tokens = text.split()
-        known, base = self.known, len(self.shapes) + 1
+        known, base = self.known, SHAPES + 1
         if len(known) > REMEMBERED:
             known.clear()
         for token in set(tokens).difference(known):
-            known[token] = self.words.get(word_of(token), 0) * base + self.shapes.get(shape_of(token), 0)
+            known[token] = number_of(word_of(token), WORDS) * base + number_of(shape_of(token), SHAPES)
         both = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
         words, shapes = both // base, both % base
         if len(tokens) > 1:
-            # Tokens of the same numbers may differ; their hashes tell.
+            # Tokens of the same rows may differ; their hashes tell.
             hashes = np.fromiter(map(hash, tokens), np.int64, len(tokens))
             shapes[1:] += base * (hashes[1:] == hashes[:-1])
         return words, shapes
 
 
-def _vectors(documents: list[tuple[np.ndarray, np.ndarray]], words: list[str], shapes: list[str]):
-    """Term vectors summed from the index vectors of the tokens around each occurrence."""
-    none = np.zeros((1, WIDTH), np.float32)
-    of_word = np.vstack((none, *[index_vector(f"w{w}") for w in words]))
-    twice = [f"s{s}" for s in ["", *shapes]] + [f"r{s}" for s in ["", *shapes]]
-    of_shape = np.vstack([index_vector(s) for s in twice])
-    word_sums, shape_sums = np.zeros_like(of_word), np.zeros_like(of_shape)
-    for w, s in documents:
-        # In pieces with the tokens around them, as a document may be long.
-        for at in range(0, len(w), PIECE):
+class Sums:
+    """The index vectors around every occurrence, added up by row."""
+
+    def __init__(self):
+        self.of_word, self.of_shape = index_vectors(WORDS + 1, 1), index_vectors(2 * (SHAPES + 1), 2)
+        self.words, self.shapes = (np.zeros(x.shape, np.int32) for x in (self.of_word, self.of_shape))
+
+    def add(self, words: np.ndarray, shapes: np.ndarray) -> None:
+        """The tokens of documents that have ``AROUND`` tokens of row 0 between them."""
+        for at in range(0, len(words), PIECE):
             low, here = max(0, at - AROUND), slice(at, at + PIECE)
-            own = of_word[w[low : at + PIECE + AROUND]] + of_shape[s[low : at + PIECE + AROUND]]
+            near = slice(low, at + PIECE + AROUND)
+            own = self.of_word[words[near]] + self.of_shape[shapes[near]]
             around = np.zeros_like(own)
             for d in range(1, AROUND + 1):
                 around[d:] += own[:-d]
                 around[:-d] += own[d:]
             around = around[at - low : at - low + PIECE]
-            np.add.at(word_sums, w[here], around)
-            np.add.at(shape_sums, s[here], around)
-    out = []
-    for sums in (word_sums, shape_sums):
-        size = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
-        out.append((sums / np.maximum(size, 1e-9)).astype(np.float32))
-    out[0][0] = 0
-    return out
+            for sums, rows in ((self.words, words[here]), (self.shapes, shapes[here])):
+                order = np.argsort(rows, kind="stable")
+                sorted_ = rows[order]
+                starts = np.flatnonzero(np.diff(sorted_, prepend=-1))
+                sums[sorted_[starts]] += np.add.reduceat(around[order], starts, axis=0, dtype=np.int32)
+
+    def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Blocks of both tables one after the other, without those of zeros only."""
+        both = np.concatenate((self.words, self.shapes))
+        for at in range(0, len(both), BLOCK):
+            if both[at : at + BLOCK].any():
+                yield at // BLOCK, both[at : at + BLOCK]
+
+
+def _joined(documents: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    gap = np.zeros(AROUND, np.int64)
+    return tuple(np.concatenate([x for d in documents for x in (d[half], gap)]) for half in (0, 1))
+
+
+def _unit(sums: np.ndarray) -> list[np.ndarray]:
+    """The vectors of both tables, brought to length one; none for no word."""
+    vectors = sums.astype(np.float64)
+    vectors /= np.maximum(np.sqrt((vectors * vectors).sum(axis=1, keepdims=True)), 1e-9)
+    words, shapes = np.split(vectors.astype(np.float32), [WORDS + 1])
+    # Row 0 also has what is next to the ends of documents.
+    words[0] = shapes[0] = 0
+    return [words, shapes]
+
+
+def vectors_of(docs: DataFrame, text: str = "text") -> list[np.ndarray]:
+    """The vectors of all rows, from all documents; their size does not grow with the table."""
+    block, spread, size = BLOCK, SPREAD, (WORDS + 1 + 2 * (SHAPES + 1), WIDTH)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        tokens, sums = Tokens(), Sums()
+        for batch in batches:
+            documents = [tokens(x) for x in batch.column(0).to_pylist() if x]
+            if documents:
+                sums.add(*_joined(documents))
+        found = list(sums.blocks())
+        way = TaskContext.get().partitionId() % spread
+        yield pa.record_batch({
+            "block": pa.array([n for n, _ in found], pa.int32()),
+            "way": pa.array([way] * len(found), pa.int32()),
+            "sums": pa.array([x.astype(np.int64).tobytes() for _, x in found], pa.binary()),
+        })
+
+    parts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(each, "block int, way int, sums binary")
+    merged = _added(_added(parts, "block", "way"), "block").toArrow().to_pylist()
+    whole = np.zeros(size, np.int64)
+    for row in merged:
+        own = np.frombuffer(row["sums"], np.int64).reshape(-1, WIDTH)
+        whole[row["block"] * block : row["block"] * block + len(own)] = own
+    return _unit(whole)
+
+
+def _added(parts: DataFrame, *keys: str) -> DataFrame:
+    """Sums of one key added up, a row at a time as they come sorted."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums = None, None
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if now is not None:
+                yield pa.record_batch({
+                    "block": pa.array([now[0]], pa.int32()), "way": pa.array([now[1]], pa.int32()),
+                    "sums": pa.array([sums.tobytes()], pa.binary()),
+                })
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = (row["block"], row["way"] if "way" in keys else 0)
+                own = np.frombuffer(row["sums"], np.int64)
+                if key == now:
+                    sums += own
+                else:
+                    yield from finished()
+                    now, sums = key, own.copy()
+        yield from finished()
+
+    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(each, parts.schema)
 
 
 def _pooled(model_vectors: list[np.ndarray], document: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     out = np.zeros(2 * WIDTH)
     for half, (vectors, numbers) in enumerate(zip(model_vectors, document, strict=True)):
         if len(numbers):
-            counts = np.bincount(numbers, minlength=len(vectors)).astype(np.float32)
-            used = np.flatnonzero(counts)
-            out[half * WIDTH : (half + 1) * WIDTH] = counts[used] @ vectors[used] / len(numbers)
+            used, counts = np.unique(numbers, return_counts=True)
+            out[half * WIDTH : (half + 1) * WIDTH] = counts.astype(np.float32) @ vectors[used] / len(numbers)
     return out
 
 
@@ -176,24 +260,10 @@ def _train(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     return layers
 
 
-def _commonest(counts: Counter, most: int) -> list[str]:
-    ranked = sorted(counts.items(), key=lambda item: (-item[1], item[0]))
-    return [term for term, n in ranked[:most] if n >= LEAST]
-
-
-def learn(texts: list[str], labels: list[int], share: float) -> Model:
+def learn(vectors: list[np.ndarray], texts: list[str], labels: list[int], share: float) -> Model:
     """A model from texts of both classes; ``share`` is the share of class 1 among all labels."""
-    words, shapes = Counter(), Counter()
-    for text in texts:
-        tokens = set(text.split())
-        words.update({word_of(t) for t in tokens})
-        shapes.update({shape_of(t) for t in tokens})
-    word_list, shape_list = _commonest(words, WORDS), _commonest(shapes, SHAPES)
-    numbered = {w: i + 1 for i, w in enumerate(word_list)}, {s: i + 1 for i, s in enumerate(shape_list)}
-    tokens = Tokens(*numbered)
-    documents = [tokens(text) for text in texts]
-    vectors = _vectors(documents, word_list, shape_list)
-    x = np.array([_pooled(vectors, d) for d in documents])
+    tokens = Tokens()
+    x = np.array([_pooled(vectors, tokens(text)) for text in texts])
     y = np.array(labels, np.float64)
     mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
     x = (x - mean) / spread
@@ -203,11 +273,11 @@ def learn(texts: list[str], labels: list[int], share: float) -> Model:
     temperature = calibrate(_logits(layers, x[aside]), y[aside])
     ours = y.mean()
     shift = np.log(share / (1 - share)) - np.log(ours / (1 - ours))
-    return Model(*numbered, *vectors, mean, spread, layers, temperature, float(shift))
+    return Model(vectors, mean, spread, layers, temperature, float(shift))
 
 
 def scores(model: Model, tokens: Tokens, texts: list[str]) -> np.ndarray:
-    x = np.array([_pooled([model.word_vectors, model.shape_vectors], tokens(text)) for text in texts])
+    x = np.array([_pooled(model.vectors, tokens(text)) for text in texts])
     logits = _logits(model.layers, (x - model.mean) / model.spread)
     return sigmoid(logits / model.temperature + model.shift)
 
@@ -230,12 +300,13 @@ def score(
     texts, y, share = labelled_texts(
         docs, labels, label, modulus=modulus, remainder=remainder, per=per, most_chars=most_chars, doc_id=doc_id, text=text
     )
-    model = spark.sparkContext.broadcast(learn(texts, y, share) if len(set(y)) == 2 else None)
+    both = len(set(y)) == 2
+    model = spark.sparkContext.broadcast(learn(vectors_of(docs, text), texts, y, share) if both else None)
 
     @F.pandas_udf("double")
     def each(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         learned = model.value
-        tokens = Tokens(learned.words, learned.shapes) if learned else None
+        tokens = Tokens()
         for batch in batches:
             bodies = [x or "" for x in batch]
             yield pd.Series(scores(learned, tokens, bodies) if learned else np.full(len(bodies), share))

@@ -306,15 +306,9 @@ def test_long_documents_are_learned_from_in_parts(monkeypatch):
     y = np.array([1.0, 0, 1])
     model = toxicity.Model({"aa": 1, "bb": 2}, toxicity.initial(2))
     whole = toxicity._learn_batch(model, words, y)
-    numbers = [(rng.choices(range(3), k=n), rng.choices(range(6), k=n)) for n in (50, 1, 7, 0)]
-    numbers = [tuple(np.array(x, np.int64) for x in pair) for pair in numbers]
-    vectors_whole = quality._vectors(numbers, ["a", "b"], ["A", "B"])
     monkeypatch.setattr(toxicity, "LEARNED", 4)
-    monkeypatch.setattr(quality, "PIECE", 3)
     parts = toxicity._learn_batch(model, words, y)
     assert all(np.allclose(whole[k], parts[k], rtol=1e-3, atol=1e-6) for k in whole)
-    for a, b in zip(vectors_whole, quality._vectors(numbers, ["a", "b"], ["A", "B"]), strict=True):
-        assert np.allclose(a, b, atol=1e-5)
 
 
 def test_pieces_of_odd_texts():

@@ -1,0 +1,79 @@
+"""The quality scores, computed again in plain loops."""
+
+import random
+
+import numpy as np
+import pytest
+from stagewright.llm import quality
+
+
+def plain_sums(texts):
+    """The index vectors around every token, added up token by token."""
+    of_word, of_shape = quality.index_vectors(quality.WORDS + 1, 1), quality.index_vectors(2 * (quality.SHAPES + 1), 2)
+    out = np.zeros((quality.WORDS + 1 + 2 * (quality.SHAPES + 1), quality.WIDTH), np.int64)
+    for text in texts:
+        tokens = (text or "").split()
+        rows = []
+        for i, token in enumerate(tokens):
+            again = i > 0 and tokens[i - 1] == token
+            word = quality.number_of(quality.word_of(token), quality.WORDS)
+            shape = quality.number_of(quality.shape_of(token), quality.SHAPES) + again * (quality.SHAPES + 1)
+            rows.append((word, shape))
+        for i, (word, shape) in enumerate(rows):
+            for j in range(max(0, i - quality.AROUND), min(len(rows), i + quality.AROUND + 1)):
+                if i != j:
+                    near = of_word[rows[j][0]].astype(int) + of_shape[rows[j][1]]
+                    out[word] += near
+                    out[quality.WORDS + 1 + shape] += near
+    return out
+
+
+def plain_score(model, text):
+    x = np.zeros(2 * quality.WIDTH)
+    tokens = (text or "").split()
+    for i, token in enumerate(tokens):
+        again = i > 0 and tokens[i - 1] == token
+        x[: quality.WIDTH] += model.vectors[0][quality.number_of(quality.word_of(token), quality.WORDS)] / len(tokens)
+        shape = quality.number_of(quality.shape_of(token), quality.SHAPES) + again * (quality.SHAPES + 1)
+        x[quality.WIDTH :] += model.vectors[1][shape] / len(tokens)
+    x = (x - model.mean) / model.spread
+    w1, b1, w2, b2 = model.layers
+    hidden = [np.tanh(sum(x[i] * w1[i, h] for i in range(len(x))) + b1[h]) for h in range(quality.HIDDEN)]
+    logit = sum(a * b for a, b in zip(hidden, w2, strict=True)) + b2[0]
+    return 1 / (1 + np.exp(-(logit / model.temperature + model.shift)))
+
+
+def some_texts(n):
+    rng = random.Random(n)
+    words = ["the", "The", "cat", "cat", "12", "a-b", "...", "ÉTÉ", "x" * 40, "日本"]
+    return [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(n)] + [None, "", "one", " \t\n"]
+
+
+@pytest.mark.parametrize("piece", [3, 1 << 14])
+def test_vectors_of_all_documents(spark, monkeypatch, piece):
+    monkeypatch.setattr(quality, "PIECE", piece)
+    texts = some_texts(60)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    want = quality._unit(plain_sums(texts))
+    for a, b in zip(quality.vectors_of(docs), want, strict=True):
+        assert np.array_equal(a, b)
+    assert not want[0][0].any() and want[0].any()
+    none = quality.vectors_of(docs.limit(0))
+    assert not none[0].any() and not none[1].any()
+
+
+def test_every_word_has_a_vector(spark):
+    docs = spark.createDataFrame([(t,) for t in some_texts(60)], "text string")
+    words = quality.vectors_of(docs)[0]
+    for token in ("the", "cat", "日本", "ÉTÉ", "a-b"):
+        row = quality.number_of(quality.word_of(token), quality.WORDS)
+        assert np.linalg.norm(words[row]) == pytest.approx(1, abs=1e-5)
+
+
+def test_scores_against_plain_loops():
+    texts = some_texts(40)
+    vectors = quality._unit(plain_sums(texts))
+    model = quality.learn(vectors, [t or "" for t in texts], [len(t or "") % 2 for t in texts], 0.4)
+    got = quality.scores(model, quality.Tokens(), [t or "" for t in texts])
+    assert np.allclose(got, [plain_score(model, t) for t in texts], atol=1e-5)
+    assert 0 < got.min() and got.max() < 1 and got.std() > 0.01

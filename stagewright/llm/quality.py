@@ -20,6 +20,7 @@ as often as they occur.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,13 +38,13 @@ MODULUS, REMAINDER = 3, 1
 #: Rows of each class that are learned from at most, and the longest in characters if there are enough.
 PER, MOST_CHARS = 1500, 20000
 #: Rows that words and shapes share by a hash; more rows cost memory and shuffle, not passes.
-WORDS, SHAPES = 1 << 16, 1 << 12
+WORDS, SHAPES = (1 << 16) - 1, (1 << 12) - 1
 WIDTH, ONES, AROUND = 64, 6, 2
-#: Rows of a block of sums, and groups that the sums of a block are first added up in.
-BLOCK, SPREAD = 1 << 10, 64
+#: Rows of a block of sums, and how many tasks' sums are added up at a time.
+BLOCK, TOGETHER = 1 << 10, (16, 4096)
 HIDDEN, ROUNDS, BATCH, RATE, DECAY = 32, 60, 128, 0.003, 1e-4
 #: Tokens that a worker remembers, and tokens whose surroundings are summed at a time.
-REMEMBERED, PIECE = 300_000, 1 << 14
+REMEMBERED, PIECE = 300_000, 1 << 13
 _EDGES = re.compile(r"^\W+|\W+$")
 _RUNS = re.compile(r"([^\W\d_]+)|(\d+)|(.)\3*", re.S)
 
@@ -65,6 +66,19 @@ def shape_of(token: str) -> str:
     return _RUNS.sub(_run_shape, token)
 
 
+class _Masks(dict):
+    """What a character is to a shape, for ``str.translate``: tokens of one mask have one shape."""
+
+    def __missing__(self, code: int) -> int:
+        c = chr(code)
+        if c.isalnum() and not re.match(r"\d", c):
+            cased = "A" if c.isupper() else "a" if c.islower() else c if c.istitle() else "o"
+            self[code] = ord(cased)
+        else:
+            self[code] = ord("0") if c.isalnum() else code
+        return self[code]
+
+
 def number_of(term: str, rows: int) -> int:
     """The row of a term, from 1; row 0 is for no term."""
     return 1 + xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass")) % rows if term else 0
@@ -92,24 +106,39 @@ class Model:
 
 
 class Tokens:
-    """Word and shape rows of texts, remembering tokens it has seen."""
+    """Word and shape rows of texts, remembering tokens it has seen, and the shapes of masks."""
 
     def __init__(self):
         self.known: dict[str, int] = {}
+        self.words, self.shapes = array("H"), array("H")
+        self.masks, self.shape_rows = _Masks(), {}
+
+    def _new(self, token: str) -> int:
+        number = self.known[token] = len(self.known)
+        word = token.lower() if token.isalnum() else word_of(token)
+        self.words.append(number_of(word, WORDS))
+        mask = token.translate(self.masks)
+        shape = self.shape_rows.get(mask)
+        if shape is None:
+            if len(self.shape_rows) > REMEMBERED:
+                self.shape_rows.clear()
+            shape = self.shape_rows[mask] = number_of(shape_of(token), SHAPES)
+        self.shapes.append(shape)
+        return number
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         tokens = text.split()
-        known, base = self.known, SHAPES + 1
-        if len(known) > REMEMBERED:
-            known.clear()
-        for token in set(tokens).difference(known):
-            known[token] = number_of(word_of(token), WORDS) * base + number_of(shape_of(token), SHAPES)
-        both = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-        words, shapes = both // base, both % base
-        if len(tokens) > 1:
-            # Tokens of the same rows may differ; their hashes tell.
-            hashes = np.fromiter(map(hash, tokens), np.int64, len(tokens))
-            shapes[1:] += base * (hashes[1:] == hashes[:-1])
+        if len(self.known) > REMEMBERED:
+            self.known, self.words, self.shapes = {}, array("H"), array("H")
+        distinct = list(set(tokens))
+        # A text's own tokens are few, so that most look-ups are in a small table.
+        own = dict(zip(distinct, map(self.known.get, distinct), strict=True))
+        for token in [t for t, number in own.items() if number is None]:
+            own[token] = self._new(token)
+        ids = np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens))
+        words, shapes = (np.array(np.frombuffer(rows, np.uint16)[ids] if len(ids) else [], np.uint16) for rows in (self.words, self.shapes))
+        if len(ids) > 1:
+            shapes[1:] += np.uint16(SHAPES + 1) * (ids[1:] == ids[:-1])
         return words, shapes
 
 
@@ -134,7 +163,7 @@ class Sums:
             for sums, rows in ((self.words, words[here]), (self.shapes, shapes[here])):
                 order = np.argsort(rows, kind="stable")
                 sorted_ = rows[order]
-                starts = np.flatnonzero(np.diff(sorted_, prepend=-1))
+                starts = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
                 sums[sorted_[starts]] += np.add.reduceat(around[order], starts, axis=0, dtype=np.int32)
 
     def blocks(self) -> Iterator[tuple[int, np.ndarray]]:
@@ -146,7 +175,7 @@ class Sums:
 
 
 def _joined(documents: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    gap = np.zeros(AROUND, np.int64)
+    gap = np.zeros(AROUND, np.uint16)
     return tuple(np.concatenate([x for d in documents for x in (d[half], gap)]) for half in (0, 1))
 
 
@@ -162,7 +191,7 @@ def _unit(sums: np.ndarray) -> list[np.ndarray]:
 
 def vectors_of(docs: DataFrame, text: str = "text") -> list[np.ndarray]:
     """The vectors of all rows, from all documents; their size does not grow with the table."""
-    block, spread, size = BLOCK, SPREAD, (WORDS + 1 + 2 * (SHAPES + 1), WIDTH)
+    block, size = BLOCK, (WORDS + 1 + 2 * (SHAPES + 1), WIDTH)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -173,7 +202,7 @@ def vectors_of(docs: DataFrame, text: str = "text") -> list[np.ndarray]:
             if documents:
                 sums.add(*_joined(documents))
         found = list(sums.blocks())
-        way = TaskContext.get().partitionId() % spread
+        way = TaskContext.get().partitionId()
         yield pa.record_batch({
             "block": pa.array([n for n, _ in found], pa.int32()),
             "way": pa.array([way] * len(found), pa.int32()),
@@ -181,7 +210,9 @@ def vectors_of(docs: DataFrame, text: str = "text") -> list[np.ndarray]:
         })
 
     parts = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(each, "block int, way int, sums binary")
-    merged = _added(_added(parts, "block", "way"), "block").toArrow().to_pylist()
+    for together in TOGETHER:
+        parts = _added(parts.withColumn("way", F.expr(f"way - pmod(way, {together})")), "block", "way")
+    merged = _added(parts, "block").toArrow().to_pylist()
     whole = np.zeros(size, np.int64)
     for row in merged:
         own = np.frombuffer(row["sums"], np.int64).reshape(-1, WIDTH)

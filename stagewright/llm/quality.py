@@ -113,8 +113,8 @@ class Tokens:
         self.words, self.shapes = array("H"), array("H")
         self.masks, self.shape_rows = _Masks(), {}
 
-    def _new(self, token: str) -> int:
-        number = self.known[token] = len(self.known)
+    def _new(self, token: str) -> None:
+        self.known[token] = len(self.known)
         word = token.lower() if token.isalnum() else word_of(token)
         self.words.append(number_of(word, WORDS))
         mask = token.translate(self.masks)
@@ -124,18 +124,14 @@ class Tokens:
                 self.shape_rows.clear()
             shape = self.shape_rows[mask] = number_of(shape_of(token), SHAPES)
         self.shapes.append(shape)
-        return number
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         tokens = text.split()
         if len(self.known) > REMEMBERED:
             self.known, self.words, self.shapes = {}, array("H"), array("H")
-        distinct = list(set(tokens))
-        # A text's own tokens are few, so that most look-ups are in a small table.
-        own = dict(zip(distinct, map(self.known.get, distinct), strict=True))
-        for token in [t for t, number in own.items() if number is None]:
-            own[token] = self._new(token)
-        ids = np.fromiter(map(own.__getitem__, tokens), np.int32, len(tokens))
+        for token in set(tokens).difference(self.known):
+            self._new(token)
+        ids = np.fromiter(map(self.known.__getitem__, tokens), np.int32, len(tokens))
         words, shapes = (np.array(np.frombuffer(rows, np.uint16)[ids] if len(ids) else [], np.uint16) for rows in (self.words, self.shapes))
         if len(ids) > 1:
             shapes[1:] += np.uint16(SHAPES + 1) * (ids[1:] == ids[:-1])

@@ -248,17 +248,17 @@ def test_chi_square_quantile():
 
 
 def test_code_lengths_add_up(monkeypatch):
-    model = langid.learn({"x": [b"abab abab"] * 3, "y": [b"cdcd cdcd"] * 3})
+    trees = [langid.learn([b"abab abab"] * 3), langid.learn([b"cdcd cdcd"] * 3)]
     text = b"abcd \xff ab" * 50
-    whole = langid.code_lengths(model, [text, b"", b"abab"])
+    whole = langid.code_lengths(trees, [text, b"", b"abab"])
     monkeypatch.setattr(langid, "_PIECE", 7)
-    assert np.allclose(langid.code_lengths(model, [text, b"", b"abab"]), whole)
+    assert np.allclose(langid.code_lengths(trees, [text, b"", b"abab"]), whole)
     assert (whole[1] == 0).all() and whole[2].argmin() == 0
     # Frozen chances of all bytes after a context add up to one.
-    costs = model.costs.reshape(-1, model.size, 2)
-    unseen = 256 - (model.size - 1)
-    sums = np.exp2(-costs[0, 1:]).sum(axis=0) + unseen * np.exp2(-costs[0, 0])
-    assert (sums <= 1 + 1e-6).all()
+    for tree in trees:
+        unseen = 256 - (tree.costs.shape[1] - 1)
+        sums = np.exp2(-tree.costs[:, 1:]).sum(axis=1) + unseen * np.exp2(-tree.costs[:, 0])
+        assert (sums <= 1 + 1e-5).all()
 
 
 def test_languages_without_letters_and_without_learning(spark):
@@ -295,7 +295,11 @@ def test_languages_of_long_texts_are_learned(spark):
     some = [(i, ("ab " if n < 4 else "ba " * 60) + str(n), "few", None, 0) for n, i in enumerate(ids[:40])]
     some += [(i, "cd " * 40 + str(n), "long", None, 0) for n, i in enumerate(ids[40:])]
     options = {"doc_id": "doc_id", "text": "text", "lang": "lang", "modulus": 5, "remainder": 0}
-    found = langid.sample(frame(spark, some), per=4, most_bytes=100, **options)
+    rows, number = langid.sample(frame(spark, some), per=4, most_bytes=100, **options)
+    found = {"few": [], "long": []}
+    for row in rows.collect():
+        found[row.stratum].append(row.text.encode())
+    assert number == 2
     assert {t[:3] for t in found["few"]} == {b"ab "} and len(found["few"]) == 4
     assert 1 <= len(found["long"]) <= 3 and all(len(t) > 100 for t in found["long"])
 

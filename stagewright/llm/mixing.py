@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stagewright.llm.common import row_hash, written
+from stagewright.llm.common import fresh, row_hash, written
 
 #: The words of the mix against all words, and against the words of one source at most.
 SHARE, MOST = 1.5, 2.0
@@ -195,9 +195,12 @@ def plan(
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix, each as often as it was drawn, with their own columns."""
-    drawn = plan(docs, whole=True, **options)
-    columns = [c for c in docs.columns if not c.lower().startswith("mix_")]
+    # Columns named like those of the plan go by another name meanwhile.
+    clashing = [c for c in docs.columns if c.lower().startswith("mix_")]
+    aside = dict(zip(clashing, fresh(docs, *[f"own_{c}" for c in clashing]), strict=True))
+    options = {k: aside.get(v, v) if k in ("doc_id", "text", "source") else v for k, v in options.items()}
+    drawn = plan(docs.withColumnsRenamed(aside), whole=True, **options)
     copies = drawn.filter(F.col("mix_copies") > 0).withColumn(
         "mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))
     )
-    return copies.select([F.col(f"`{c}`") for c in columns])
+    return copies.select([F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns])

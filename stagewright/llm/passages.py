@@ -40,6 +40,8 @@ from stagewright.llm.common import fresh, slices, small_batches, written
 LENGTH, GRAM = 200, 32
 #: Bytes of runs in a shard, and different runs of one anchor in a shard.
 SHARD_BYTES, SHARD_RUNS = 1 << 20, 8192
+#: Runs that are too common for one task have more than one in so many of all occurrences.
+HEAVY = 2048
 #: Ranges that each shard of a hot anchor is cut into, per shard.
 RANGES = 4
 #: Bytes whose anchors are found at a time; places fit the low bits of the sort key.
@@ -313,8 +315,9 @@ def _by_row(base: DataFrame, row: str, doc_id: str, other: DataFrame, how: str)
 
     Both joins of the documents are made here in one form, so that Spark can shuffle the texts once.
     """
-    other = other.withColumnsRenamed({"id": "__id", "row": "__row"})
-    same_row = (_number(base, doc_id) == F.col("__id")) & (F.col(row) == F.col("__row"))
+    number, other_row = fresh(base, "__id", "__row")
+    other = other.withColumnsRenamed({"id": number, "row": other_row})
+    same_row = (_number(base, doc_id) == F.col(number)) & (F.col(row) == F.col(other_row))
     return base.join(other, same_row, how)
 
 
@@ -345,6 +348,19 @@ def _bodies(length: int):
     return each
 
 
+def _twice(differ: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The occurrences of runs that occur twice byte by byte.
+
+    A run with more than one in ``HEAVY`` of all occurrences would fill a task. There are fewer than
+    ``HEAVY`` of these, so they are sent to all occurrences; the others are joined by a shuffle.
+    """
+    key, place = ["h", "c"], ["id", "row", "low", "high"]
+    several = kinds.filter("n > 1").select("h", "c", (F.col("n") * HEAVY > differ.count()).alias("heavy"))
+    heavy = F.broadcast(several.filter("heavy").select(key))
+    light = differ.join(heavy, key, "left_anti").join(several.filter(~F.col("heavy")).select(key), key)
+    return differ.join(heavy, key, "left_semi").select(place).union(light.select(place))
+
+
 def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``id, row, spans`` of each document with repeated bytes; spans may overlap, in no order."""
     if length < 2 * GRAM:
@@ -369,9 +385,7 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
     one = F.min(F.struct("id", "row", "low", "high"))
     kinds = differ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), one.alias("one"))
     kinds = written(kinds.select("h", "c", "n", "one.*"), "differing-runs")
-    whole = marked.filter(~F.col("differ")).select("id", "row", "low", "high").union(
-        differ.join(kinds.filter("n > 1").select("h", "c"), ["h", "c"]).select("id", "row", "low", "high")
-    )
+    whole = marked.filter(~F.col("differ")).select("id", "row", "low", "high").union(_twice(differ, kinds))
     whole = whole.select("id", "row", F.col("low").alias("first"), (F.col("high") + length).alias("last"))
     per_anchor = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("runs"))
     crowded = written(per_anchor.filter(F.col("runs") > SHARD_RUNS), "hot-anchors")

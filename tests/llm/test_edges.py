@@ -482,3 +482,27 @@ def test_pipeline_masks_drops_and_repeats(spark):
     kept = spark.createDataFrame([(r.doc_id, r.text) for r in done], "doc_id long, text string").distinct()
     assert secrets.scan(kept).filter("size(spans) > 0").count() == 0
     assert simhash.keep_one(kept).count() == kept.count()
+
+
+def test_own_columns_that_are_named_like_helpers(spark):
+    docs = frame(spark).select("*", F.col("doc_id").alias("mix_size"), F.lit("x").alias("own_mix_size"), F.lit(1).alias("__id"), F.lit(2).alias("__row"))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert all(r.mix_size == r.doc_id and r.own_mix_size == "x" for r in mixed.collect())
+    by_other_name = mixing.mix(docs.withColumnRenamed("doc_id", "mix_id"), doc_id="mix_id")
+    assert Counter(r.mix_id for r in by_other_name.collect()) == Counter(r.doc_id for r in mixed.collect())
+    got = passages.without_repeats(docs)
+    assert Counter(r.doc_id for r in got.collect()) == Counter(r[0] for r in ODD)
+
+
+@pytest.mark.parametrize("heavy", [1, 10, 1 << 40])
+def test_runs_of_any_commonness_are_found(spark, monkeypatch, heavy):
+    monkeypatch.setattr(passages, "HEAVY", heavy)
+    rng = random.Random(6)
+    blocks = ["".join(rng.choices("abcdefgh ", k=260)) for _ in range(4)]
+    texts = [rng.choice(blocks)[rng.randint(0, 20) :] + "".join(rng.choices("xyz", k=30)) + rng.choice(blocks) for _ in range(60)]
+    docs = frame(spark, [(i, t, None, None, len(t)) for i, t in enumerate(texts)])
+    seen = Counter(t[i : i + 200] for t in texts for i in range(len(t) - 199))
+    for r in passages.without_repeats(docs).collect():
+        gone = {j for i in range(len(texts[r.doc_id]) - 199) if seen[texts[r.doc_id][i : i + 200]] > 1 for j in range(i, i + 200)}
+        assert r.n_removed == len(gone)

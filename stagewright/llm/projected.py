@@ -5,7 +5,8 @@ by a few Gaussian directions, which are 2-stable: the squared projected distance
 distance is chi-square with as many degrees of freedom. A kd-tree holds the projections of a shard.
 Projected neighbours come in order of their distance and are verified on the whole vectors; a query
 stops once the next projected distance is so large that a row nearer than its kth neighbour would
-have been seen with probability ``SURE``. There is no other cap on how many rows are verified.
+have been seen with probability ``SURE``. The same test on the boxes of places rules out whole shards
+before any of their rows is sent. There is no other cap on how many rows are verified.
 
 See ``vectors.search`` for nulls, repeated rows and which rows ask.
 """
@@ -18,13 +19,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from stagewright.llm.vectors import Best, Tree, asking, matrix, search
+from stagewright.llm.vectors import Best, Method, Tree, asking, matrix, search
 
 TOP, EVERY = 5, 50
 #: Projections (even, for the closed form below), and the chance that a nearer row was seen.
 PROJECTIONS, SURE, SEED = 12, 0.98, 42
 #: Points of a leaf: a leaf is one step in numpy, so it is larger than a tree alone would ask for.
 LEAF = 256
+#: Squared projected distance that only copies of a vector are within.
+COPY = 1e-12
 
 
 def chi_square(x: float, freedom: int) -> float:
@@ -44,29 +47,59 @@ def quantile(p: float, freedom: int) -> float:
     return high
 
 
-def find_in_shard(k: int, projections: int, sure: float, seed: int):
-    limit = quantile(sure, projections)
-
-    def find(own: pd.DataFrame, wanted: pd.DataFrame) -> list[tuple[int, int, float]]:
-        rows, asked = matrix(own["vector"]), matrix(wanted["vector"])
-        # Scaled first, so that no square leaves the range of doubles.
-        rows /= np.abs(rows).max(axis=1, keepdims=True)
-        asked /= np.abs(asked).max(axis=1, keepdims=True)
-        norms, lengths = np.sqrt((rows * rows).sum(axis=1)), np.sqrt((asked * asked).sum(axis=1))
-        directions = np.random.default_rng(seed).standard_normal((rows.shape[1], projections))
-        low = (rows / norms[:, None]) @ directions
-        at = (asked / lengths[:, None]) @ directions
-        ids = own["id"].to_numpy()
-        tree = Tree(low, LEAF)
+def _unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors scaled, so that no square leaves the range of doubles, and their lengths."""
+    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return scaled, np.sqrt((scaled * scaled).sum(axis=1))
+
+
+def _projector(projections: int, seed: int):
+    def project(vectors: np.ndarray) -> np.ndarray:
+        scaled, lengths = _unit(vectors)
+        directions = np.random.default_rng(seed).standard_normal((vectors.shape[1], projections))
+        return (scaled / lengths[:, None]) @ directions
+
+    return project
+
+
+def _far(distance, kth: float, limit: float):
+    """Whether no row at this squared projected distance or beyond needs to be seen.
+
+    Copies of the query have a distance of 0 up to rounding, so a kth score of 1 stops as well.
+    """
+    return distance >= max(limit * (2 - 2 * kth), COPY)
+
+
+def _gaps(point: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    away = np.maximum(np.maximum(low - point, point - high), 0)
+    return (away * away).sum(axis=1)
+
+
+def may_reach(limit: float, project):
+    def reach(wanted: pd.DataFrame, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        out = np.ones((len(wanted), len(low)), bool)
+        at = project(matrix(wanted["vector"]))
+        for row, (_, kth) in enumerate(asking(wanted)):
+            if kth is not None:
+                out[row] = ~_far(_gaps(at[row], low, high), kth, limit)
+        return out
+
+    return reach
+
+
+def find_in_shard(k: int, limit: float, project):
+    def find(tree: Tree, ids: np.ndarray, vectors: np.ndarray, wanted: pd.DataFrame) -> list[tuple[int, int, float]]:
+        asked = matrix(wanted["vector"])
+        low, at = project(vectors), project(asked)
+        rows, norms = _unit(vectors)
+        asked, lengths = _unit(asked)
         out = []
         for row, (query, kth) in enumerate(asking(wanted)):
             point = at[row]
-            away = np.maximum(np.maximum(tree.low - point, point - tree.high), 0)
             best = Best(k, kth)
 
             def over(distance: float, best: Best = best) -> bool:
-                """Whether no row at this projected distance or beyond needs to be seen."""
-                return best.kth is not None and distance >= limit * max(0.0, 2 - 2 * best.kth) > 0
+                return best.kth is not None and bool(_far(distance, best.kth, limit))
 
             def verify(which: np.ndarray, row: int = row, best: Best = best) -> None:
                 scores = (rows[which] * asked[row]).sum(axis=1) / (norms[which] * lengths[row])
@@ -74,7 +107,7 @@ def find_in_shard(k: int, projections: int, sure: float, seed: int):
 
             waiting, distances = np.zeros(0, np.int64), np.zeros(0)
             stopped = False
-            for bound, leaf in tree.nearest_first((away * away).sum(axis=1).tolist()):
+            for bound, leaf in tree.nearest_first(_gaps(point, tree.low, tree.high).tolist()):
                 # What waits below the bound of the next leaf is next in projected order.
                 ready = distances <= bound
                 if ready.any():
@@ -110,11 +143,12 @@ def nearest(
     """``query_id, rank, vec_id, score`` of each query's k nearest found by cosine."""
     if projections < 2 or projections % 2:
         raise ValueError("the number of projections is even")
+    limit, project = quantile(sure, projections), _projector(projections, seed)
     return search(
         table,
         k,
         every,
-        find_in_shard(k, projections, sure, seed),
+        Method(project, may_reach(limit, project), find_in_shard(k, limit, project), LEAF),
         vec_id=vec_id,
         vector=vector,
         zero=False,

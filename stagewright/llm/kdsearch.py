@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from stagewright.llm.vectors import Best, Method, Tree, asking, matrix, search
+from stagewright.llm.vectors import Best, Method, Tree, asking, matrix, search, steps
 
 SCALE = 256
 TOP, EVERY = 5, 50
@@ -65,9 +65,11 @@ def find_in_shard(k: int):
             best = Best(k, kth if kth is None or kth > -_LONG else None)
             # Negated, so that the best bound is the least one.
             bounds = -_bounds(queries[row : row + 1], low, high)[0]
-            for bound, leaf in tree.nearest_first(bounds.tolist()):
-                if best.kth is not None and -bound < best.kth:
-                    break
+
+            def over(bound: float, best: Best = best) -> bool:
+                return best.kth is not None and -bound < best.kth
+
+            for _, leaf in steps(tree.nearest_first(bounds.tolist()), over):
                 leaf = leaf[ids[leaf] != query]
                 best.add(points[leaf] @ queries[row], ids[leaf])
             if best.scores is not None:

@@ -8,11 +8,11 @@ once needs no look at its bytes at all. The steps:
 
 1. Each document gives its anchors, about one in 80 bytes: the windows that have it (they are in one
    run), the anchor's hash, and a hash of the run's bytes.
-2. Anchors with one occurrence are dropped. Runs that occur twice byte by byte are repeated as a
-   whole. What is left are runs that share an anchor but differ: the ends of passages.
-3. One run of each kind is read from its document and dealt to a shard by the anchor's hash. A shard
-   of bounded size sorts all suffixes of its runs by Larsson-Sadakane refinement, takes the common
-   prefixes of neighbours by Kasai's walk, and so knows the windows that start more than once.
+2. Anchors with one occurrence are dropped. Runs with the same two hashes are of one kind.
+3. One run of each kind, or two where it occurs more often, is read from its document and dealt to a
+   shard by the anchor's hash. A shard of bounded size sorts all suffixes of its runs by
+   Larsson-Sadakane refinement, takes the common prefixes of neighbours by Kasai's walk, and so knows
+   the windows that start more than once. What it finds in a pair holds for every run of the kind.
 4. An anchor with very many different runs is cut into several shards. Each sorts the digests of its
    windows, cuts them by binary search at bounds that all its shards share, and one task per range
    looks each digest up in the merged run of all shards.
@@ -225,18 +225,24 @@ _FOUND = f"m1 long, m2 long, {_SPAN}, keys binary, ids binary, rows binary, plac
 
 
 def _compare(length: int):
-    """A shard: spans of its runs that occur once, or the window digests of a hot anchor's shard."""
+    """A shard: spans of its runs (``m2`` -1), spans within a kind of run that occurs more often (-2, with
+    its anchor, its hash as ``id`` and its ``n`` as ``row``), and the window digests of a hot anchor's shard.
+    """
 
     def each(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["h", "c"])
+        # Rows that are alike give their runs once each.
+        group = group.sort_values(["h", "c", "second"]).drop_duplicates(["h", "c", "second"])
         bodies = [bytes(b) for b in group["body"]]
         flags = repeated_windows(bodies, length)
         ids, rows, lows, alone = (group[x].to_numpy() for x in ("id", "row", "low", "n"))
+        anchor, run, second = (group[x].to_numpy() for x in ("h", "c", "second"))
         out = []
         for i, flag in enumerate(flags):
             if alone[i] == 1:
                 of_run = _spans(flag, int(lows[i]), length)
-                out += [(int(rows[i]) & 1023, -1, ids[i], rows[i], a, b, *[b""] * 4) for a, b in of_run]
+                out += [(0, -1, ids[i], rows[i], a, b, *[b""] * 4) for a, b in of_run]
+            elif second[i] == 0:
+                out += [(anchor[i], -2, run[i], alone[i], a, b, *[b""] * 4) for a, b in _spans(flag, 0, length)]
         ranges = int(group["ranges"].iloc[0])
         if ranges:
             out += _digests(int(group["h"].iloc[0]), bodies, flags, ids, rows, lows, alone, ranges, length)
@@ -276,12 +282,10 @@ def _digests(h: int, bodies, flags, ids, rows, lows, alone, ranges: int, length:
 
 
 def _merge(length: int):
-    """Spans as they are; of a hot anchor's range, the windows that several shards have."""
+    """Of a hot anchor's range, the windows that several shards have."""
 
     def each(group: pd.DataFrame) -> pd.DataFrame:
         columns = ["id", "row", "first", "last"]
-        if group["m2"].iloc[0] < 0:
-            return group[columns]
         parts = [np.frombuffer(x, np.uint64) for x in group["keys"]]
         merged = np.sort(np.concatenate(parts))
         out = []
@@ -331,14 +335,17 @@ def _occurrences(keyed: DataFrame, length: int) -> DataFrame:
     return keyed.mapInPandas(each, "id long, row long, low long, high long, h long, c long")
 
 
+_ITEM = ("g1", "g2", "ranges", "h", "c", "n", "second", "low")
+
+
 def _bodies(length: int):
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out: dict[str, list] = {x: [] for x in ("g1", "g2", "ranges", "h", "c", "n", "id", "row", "low", "body")}
+            out: dict[str, list] = {x: [] for x in (*_ITEM, "id", "row", "body")}
             for number, row, text, wanted in zip(batch["id"], batch["row"], batch["text"], batch["wanted"], strict=True):
                 body = _body(text)
                 for item in wanted:
-                    for x in ("g1", "g2", "ranges", "h", "c", "n", "low"):
+                    for x in _ITEM:
                         out[x].append(item[x])
                     out["id"].append(number)
                     out["row"].append(row)
@@ -348,17 +355,18 @@ def _bodies(length: int):
     return each
 
 
-def _twice(differ: DataFrame, kinds: DataFrame) -> DataFrame:
-    """The occurrences of runs that occur twice byte by byte.
+def _everywhere(marked: DataFrame, decided: DataFrame) -> DataFrame:
+    """The spans that a shard found in a kind of run, in all occurrences of that kind.
 
-    A run with more than one in ``HEAVY`` of all occurrences would fill a task. There are fewer than
-    ``HEAVY`` of these, so they are sent to all occurrences; the others are joined by a shuffle.
+    A kind with more than one in ``HEAVY`` of all occurrences (``n`` 3) would fill a task. There are
+    fewer than ``HEAVY`` of these, of bounded length, so they are sent to all occurrences; the others
+    are joined by a shuffle.
     """
-    key, place = ["h", "c"], ["id", "row", "low", "high"]
-    several = kinds.filter("n > 1").select("h", "c", (F.col("n") * HEAVY > differ.count()).alias("heavy"))
-    heavy = F.broadcast(several.filter("heavy").select(key))
-    light = differ.join(heavy, key, "left_anti").join(several.filter(~F.col("heavy")).select(key), key)
-    return differ.join(heavy, key, "left_semi").select(place).union(light.select(place))
+    key = ["h", "c"]
+    place = ["id", "row", (F.col("low") + F.col("first")).alias("first"), (F.col("low") + F.col("last")).alias("last")]
+    heavy = F.broadcast(decided.filter("n = 3"))
+    light = marked.join(F.broadcast(decided.filter("n = 3").select(key)), key, "left_anti")
+    return marked.join(heavy, key).select(place).union(light.join(decided.filter("n = 2"), key).select(place))
 
 
 def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -373,28 +381,25 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
     found = written(_occurrences(keyed.filter(F.octet_length("text") >= length), length), "anchors")
     # Counts are written before they are joined: a join of two plain shuffles is one that adaptive
     # execution can split where an anchor or a run is very common.
-    shared = written(
-        found.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("times"), (F.min("c") != F.max("c")).alias("differ"))
-        .filter("times > 1")
-        .select("h", "differ"),
-        "anchor-counts",
+    shared = found.groupBy("h").agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select("h")
+    marked = written(found.join(written(shared, "anchor-counts"), "h"), "shared-anchors")
+    place = F.struct("id", "row", "low", "high")
+    kinds = marked.groupBy("h", "c").agg(
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("one"), F.max(place).alias("other")
     )
-    marked = written(found.join(shared, "h"), "shared-anchors")
-    differ = marked.filter("differ")
-    one = F.min(F.struct("id", "row", "low", "high"))
-    kinds = differ.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), one.alias("one"))
-    kinds = written(kinds.select("h", "c", "n", "one.*"), "differing-runs")
-    whole = marked.filter(~F.col("differ")).select("id", "row", "low", "high").union(_twice(differ, kinds))
-    whole = whole.select("id", "row", F.col("low").alias("first"), (F.col("high") + length).alias("last"))
+    kinds = written(kinds, "kinds-of-runs")
     per_anchor = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("runs"))
     crowded = written(per_anchor.filter(F.col("runs") > SHARD_RUNS), "hot-anchors")
-    size = kinds.agg(F.sum(F.col("high") - F.col("low") + length)).first()[0] or 0
+    bodies_of = F.when(F.col("n") > 1, F.array("one", "other")).otherwise(F.array("one"))
+    runs = kinds.select("h", "c", "n", F.posexplode(bodies_of).alias("second", "one"))
+    runs = runs.select("h", "c", "n", "second", "one.*")
+    size = runs.agg(F.sum(F.col("high") - F.col("low") + length)).first()[0] or 0
+    often = F.when(F.col("n") * HEAVY > marked.count(), 3).otherwise(F.least("n", F.lit(2)))
     shards = max(1, -(-size // SHARD_BYTES))
     # An anchor with too many runs for a shard gets several of its own.
     cut = F.ceil(F.col("runs") / F.lit(SHARD_RUNS))
     hot = F.col("runs").isNotNull()
-    wanted = kinds.join(crowded, "h", "left").select(
+    wanted = runs.join(crowded, "h", "left").select(
         "id",
         "row",
         F.struct(
@@ -403,25 +408,30 @@ def spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length
             F.when(hot, cut * RANGES).otherwise(F.lit(0)).alias("ranges"),
             "h",
             "c",
-            F.least("n", F.lit(2)).alias("n"),
+            F.when(F.col("n") > 1, often).otherwise(F.lit(1)).alias("n"),
+            "second",
             "low",
             "high",
         ).alias("item"),
     )
     wanted = wanted.groupBy("id", "row").agg(F.collect_list("item").alias("wanted"))
-    # A row that is there twice gives its runs twice; they occur twice anyway.
     read = _by_row(base, row, doc_id, wanted, "inner")
     read = read.select(
         _number(base, doc_id).alias("id"), F.col(row).alias("row"), F.col(f"`{text}`").alias("text"), "wanted"
     )
     bodies = read.mapInPandas(
         _bodies(length),
-        "g1 long, g2 long, ranges long, h long, c long, n long, id long, row long, low long, body binary",
+        f"{' long, '.join(_ITEM)} long, id long, row long, body binary",
+    )
+    compared = written(bodies.groupBy("g1", "g2").applyInPandas(_compare(length), _FOUND), "compared-runs")
+    alone = compared.filter("m2 = -1").select("id", "row", "first", "last")
+    several = compared.filter("m2 >= 0").groupBy("m1", "m2").applyInPandas(_merge(length), _SPAN)
+    decided = compared.filter("m2 = -2").select(
+        F.col("m1").alias("h"), F.col("id").alias("c"), F.col("row").alias("n"), "first", "last"
     )
-    compared = bodies.groupBy("g1", "g2").applyInPandas(_compare(length), _FOUND)
-    ends = compared.groupBy("m1", "m2").applyInPandas(_merge(length), _SPAN)
     return (
-        whole.union(ends)
+        alone.union(several)
+        .union(_everywhere(marked, decided))
         .groupBy("id", "row")
         .agg(F.collect_set(F.struct("first", "last")).alias("spans"))
     )

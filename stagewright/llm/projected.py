@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from stagewright.llm.vectors import Best, Method, Tree, asking, matrix, search
+from stagewright.llm.vectors import Best, Method, Tree, asking, matrix, search, steps
 
 TOP, EVERY = 5, 50
 #: Projections (even, for the closed form below), and the chance that a nearer row was seen.
@@ -106,22 +106,18 @@ def find_in_shard(k: int, limit: float, project):
                 best.add(scores, ids[which])
 
             waiting, distances = np.zeros(0, np.int64), np.zeros(0)
-            stopped = False
-            for bound, leaf in tree.nearest_first(_gaps(point, tree.low, tree.high).tolist()):
-                # What waits below the bound of the next leaf is next in projected order.
-                ready = distances <= bound
-                if ready.any():
-                    verify(waiting[ready])
-                    waiting, distances = waiting[~ready], distances[~ready]
-                if over(min(bound, distances.min(initial=np.inf))):
-                    stopped = True
-                    break
+            for bound, leaf in steps(tree.nearest_first(_gaps(point, tree.low, tree.high).tolist()), over):
                 leaf = leaf[ids[leaf] != query]
                 gap = low[leaf] - point
                 waiting = np.concatenate((waiting, leaf))
                 distances = np.concatenate((distances, (gap * gap).sum(axis=1)))
-            if not stopped and len(waiting):
-                verify(waiting)
+                # What waits below the last bound is next in projected order.
+                ready = distances <= bound
+                verify(waiting[ready])
+                waiting, distances = waiting[~ready], distances[~ready]
+            if best.kth is not None:
+                waiting = waiting[~_far(distances, best.kth, limit)]
+            verify(waiting)
             if best.scores is not None:
                 out += [(query, int(i), float(s)) for i, s in zip(best.ids, best.scores, strict=True)]
         return out

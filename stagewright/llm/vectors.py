@@ -19,8 +19,8 @@ QUERY_ROWS, QUERY_BYTES = 16384, 8 << 20
 #: Bytes of the rows that teach the first splits, and the rows of it that each place has at least.
 #: The sample decides only where rows lie together; every row is in a shard.
 SAMPLE_BYTES, PLACE_ROWS = 16 << 20, 16
-#: Points of a kd-tree's leaf.
-LEAF = 64
+#: Points of a kd-tree's leaf, and most leaves that one step in numpy takes.
+LEAF, TOGETHER = 64, 64
 
 def usable(vector: Column, *, zero: bool) -> Column:
     """Whether a vector takes part: all components finite, and unless ``zero`` not all of them 0."""
@@ -106,6 +106,21 @@ class Tree:
                 yield bound, self.order[self.start[node] : self.end[node]]
 
 
+def steps(leaves: Iterator[tuple[float, np.ndarray]], over: Callable[[float], bool]):
+    """Leaves in growing steps, best first, until the next one is ``over``: their last bound, their rows."""
+    some, wanted, last = [], 1, 0.0
+    for bound, rows in leaves:
+        if over(bound):
+            break
+        some.append(rows)
+        last = bound
+        if len(some) == wanted:
+            yield last, np.concatenate(some)
+            some, wanted = [], min(2 * wanted, TOGETHER)
+    if some:
+        yield last, np.concatenate(some)
+
+
 class Splits:
     """The first median splits, learned from a sample: they say in which place a row lies."""
 

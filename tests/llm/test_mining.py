@@ -5,9 +5,10 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
-from stagewright.llm import divergence, licenses, phrases
+from stagewright.llm import divergence, licenses, passages, phrases
 from stagewright.llm.queries import ORACLES, QUERIES
 from workload.compare import connect, same
 
@@ -244,3 +245,19 @@ def test_base_phrases_of_the_table(spark):
         assert r.base_labels == ",".join(sorted({label for _, label in places}))
         assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1
         assert bool(r.labels) == (r.score > 0)
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_a_pair_of_runs_is_decided_by_its_suffixes_and_not_by_its_hashes(equal):
+    rng = np.random.default_rng(3)
+    one, other = (rng.integers(97, 123, 260).astype(np.uint8).tobytes() for _ in range(2))
+    bodies = [one, one if equal else other, one[:230]]
+    group = pd.DataFrame({
+        "g1": 0, "g2": 0, "ranges": 0, "h": 5, "c": [7, 7, 8], "n": [2, 2, 1], "second": [0, 1, 0],
+        "low": [100, 900, 40], "id": [1, 2, 3], "row": [11, 12, 13], "body": bodies,
+    })
+    got = passages._compare(200)(pd.concat([group, group]))
+    found = set(zip(got["m1"], got["m2"], got["id"], got["row"], got["first"], got["last"], strict=True))
+    alone = (0, -1, 3, 13, 40, 270)
+    # The third run repeats the first, which is repeated in as far as the third or its equal has it.
+    assert found == {alone, (5, -2, 7, 2, 0, 260 if equal else 230)}

@@ -124,32 +124,35 @@ def suffix_order(words: np.ndarray, ends: np.ndarray, run: np.ndarray) -> tuple[
     The end of a run is less than any byte, and different for every run.
     """
     n = len(words)
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words, kind="stable").astype(np.int32)
     new = np.diff(words[order], prepend=words[order[:1]] ^ np.uint64(1)) != 0
     # The rank of a group is the place of its first suffix.
-    group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n, np.int64)
+    group = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+    rank = np.empty(n, np.int32)
     rank[order] = group
     h, runs = 8, int(run.max()) + 1 if n else 0
-    while True:
-        alone = new & np.append(new[1:], True)
-        open_ = np.flatnonzero(~alone)
-        if not len(open_):
-            return order, rank
-        suffix = order[open_]
-        beyond, left = suffix + h, ends[suffix] - suffix
-        # Where a run has ended, a shorter rest comes first; words are filled up with zeros.
-        ended = left * runs + run[suffix]
+    # What is still equal to a neighbour, by place: a group's suffixes are together.
+    place = np.flatnonzero(~(new & np.append(new[1:], True))).astype(np.int32)
+    suffix, group = order[place], group[place]
+    left, of_run = (ends[suffix] - suffix).astype(np.int32), run[suffix].astype(np.int32)
+    while len(place):
         least = (h + 1) * runs
-        after = np.where(left > h, rank[np.minimum(beyond, n - 1)] + least, ended)
-        key = group[open_] * np.int64(n + least) + after
+        # Where a run has ended, a shorter rest comes first; words are filled up with zeros.
+        after = left.astype(np.int64) * runs + of_run
+        longer = np.flatnonzero(left > h)
+        after[longer] = rank[suffix[longer] + h] + np.int64(least)
+        key = group * np.int64(n + least) + after
         turn = np.argsort(key, kind="stable")
         key = key[turn]
-        order[open_] = suffix[turn]
-        new[open_] = np.diff(key, prepend=key[0] - 1) != 0
-        group = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank[order] = group
+        suffix, left, of_run = suffix[turn], left[turn], of_run[turn]
+        order[place] = suffix
+        new = np.diff(key, prepend=key[0] - 1) != 0
+        group = np.maximum.accumulate(np.where(new, place, 0))
+        rank[suffix] = group
+        still = ~(new & np.append(new[1:], True))
+        place, suffix, group, left, of_run = (x[still] for x in (place, suffix, group, left, of_run))
         h *= 2
+    return order, rank
 
 
 def common_prefixes(
@@ -183,9 +186,9 @@ def common_prefixes(
         while len(going):
             at = common[going]
             differ = words[here[going] + at] ^ words[there[going] + at]
-            same = np.full(len(going), 8)
-            for byte in range(8):
-                same -= differ >= np.uint64(1 << (8 * byte))
+            # The bits of the first one that differs; without the bit below it no rounding carries.
+            bits = np.frexp((differ & ~(differ >> np.uint64(1))).astype(np.float64))[1]
+            same = 8 - (bits + 7) // 8
             at = np.minimum(at + same, room[going])
             common[going] = at
             going = going[(same == 8) & (at < room[going])]
@@ -197,13 +200,14 @@ def common_prefixes(
 def repeated_windows(bodies: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
     """Per run, whether each of its windows starts at another place of these runs as well."""
     sizes = np.array([len(b) for b in bodies], np.int64)
-    flat = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8).astype(np.uint64)
+    flat = np.frombuffer(b"".join(bodies) + bytes(8), np.uint8)
     n = int(sizes.sum())
     starts = np.cumsum(sizes) - sizes
     ends = np.repeat(starts + sizes, sizes)
-    words, places = np.zeros(n, np.uint64), np.arange(n)
-    for i in range(8):
-        words = words << np.uint64(8) | np.where(places + i < ends, flat[i : n + i], np.uint64(0))
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(flat, 8)[:n]).view(">u8").ravel()
+    # Bytes beyond the end of a run are zero.
+    beyond = np.maximum(np.arange(n) + 8 - ends, 0).astype(np.uint64) * np.uint64(8)
+    words = words.astype(np.uint64) >> beyond << beyond
     run = np.repeat(np.arange(len(bodies)), sizes)
     order, rank = suffix_order(words, ends, run)
     steps = np.maximum(sizes - length + 1, 0)

@@ -117,7 +117,7 @@ def _ingest_one(
     df = drop_columns(df, *spec.get("drop_columns", ()))
     df = df.withColumnsRenamed(dict(spec.get("rename", {})))
     place = (staging_root, name, overwrite, date_column)
-    rows = stage(stamp_load_date(df, load_date, date_column), *place, dates=[load_date])
+    rows = stage(stamp_load_date(df, load_date, date_column), *place, day=load_date)
     result = {"rows": rows}
     if checked:
         bad = rejected_rows(source)
@@ -125,7 +125,7 @@ def _ingest_one(
             # The files are read again only where there is something to reject.
             bad = spark.createDataFrame([], bad.schema)
         place = (staging_root, rejects_name(name), overwrite, date_column)
-        result["rejects"] = stage(stamp_load_date(bad, load_date, date_column), *place, dates=[load_date])
+        result["rejects"] = stage(stamp_load_date(bad, load_date, date_column), *place, day=load_date)
         if seen.get["lines"] != rows + result["rejects"]:
             raise RuntimeError(f"{seen.get['lines']} lines came, {rows} were staged and {result['rejects']} rejected")
     if show_rows:

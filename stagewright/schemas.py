@@ -97,11 +97,18 @@ def _cast(value: Column, now: T.DataType, to: T.DataType) -> Column:
 
 
 def as_rows(df: DataFrame, schema: T.StructType, *more: str) -> DataFrame:
-    """The frame in the columns of a wider schema, null where it has none, followed by ``more``."""
+    """The frame in the columns of a wider schema, null where it has none, followed by ``more``.
+
+    A column that is as it should be stays the stored one: under a name given anew, Spark would not
+    see that two joins of it shuffle the same rows.
+    """
     own = {f.name.lower(): f for f in df.schema.fields}
     columns = []
     for f in schema.fields:
         twin = own.get(f.name.lower())
+        if twin is not None and (twin.name, twin.dataType) == (f.name, f.dataType):
+            columns.append(F.col(f"`{f.name}`"))
+            continue
         value = F.lit(None).cast(f.dataType) if twin is None else _cast(F.col(f"`{twin.name}`"), twin.dataType, f.dataType)
         columns.append(value.alias(f.name))
     return df.select(*columns, *more)

@@ -29,6 +29,7 @@ def stage(
     column: str = LOAD_DATE,
     rebalance: bool = False,
     dates: Sequence[dt.date] = (),
+    day: dt.date | None = None,
 ) -> int:
     """Write a source's rows into one folder per date; returns their number.
 
@@ -45,6 +46,9 @@ def stage(
     No shuffle: each task writes what it read. A batch of many dates would get one file per task and
     date that way; ``rebalance`` shuffles it by date, and adaptive execution splits large dates over
     tasks and puts small ones together.
+
+    ``day`` says that the whole batch is of this one date, whatever its column holds, and delivers it
+    even without rows. It goes straight to the day's folder; else every task sorts its rows by date.
     """
     if overwrite not in ("static", "dynamic"):
         raise ValueError(f"unknown overwrite mode {overwrite!r}: use 'static' or 'dynamic'")
@@ -52,7 +56,7 @@ def stage(
     _complete(spark, folder)
     record = read_record(spark, folder) or Record()
     schema = nullable(df.drop(column).schema)
-    named = {f"{column}={date.isoformat()}" for date in dates}
+    named = {f"{column}={date.isoformat()}" for date in (*dates, *([] if day is None else [day]))}
     if not schema.fields:
         # Documents of which none came have no fields to infer; the day is like the others, but empty.
         schema = record.schema()
@@ -64,8 +68,13 @@ def stage(
     record.check(source, schema, named)
     run = f"{folder}/{_RUN}{uuid.uuid4().hex}"
     try:
-        rows, seen = counted(df.hint("rebalance", column) if rebalance else df)
-        rows.write.partitionBy(column).parquet(run)
+        if day is not None:
+            df = df.drop(column)
+            rows, seen = counted(df.hint("rebalance") if rebalance else df)
+            rows.write.parquet(f"{run}/{column}={day.isoformat()}")
+        else:
+            rows, seen = counted(df.hint("rebalance", column) if rebalance else df)
+            rows.write.partitionBy(column).parquet(run)
         total = seen.get["rows"]
         filled = [name for name in folders.names(spark, run) if name.startswith(f"{column}=")]
         for name in sorted(named - set(filled)):
